@@ -1,128 +1,4 @@
-"""Registered queries: Spark implementations and their DuckDB oracle SQL.
+"""All registered queries (importing the modules registers them)."""
 
-Each query takes (spark, sf_dir) and reads the whole fixture tables under
-``sf_dir`` (plus, for the preparation queries, a handful of edge rows unioned
-on top). Column names are identical between a query and its oracle.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quarry.functions import text as TX
-from quarry.operators import dedup, filters
-from quarry.plans import prepare as P
-from quarry.plans import sql as S
-from quarry.plans.edge_rows import edge_df
-from quarry.plans.options import PrepareOptions
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-LANG_OPTS = PrepareOptions(lang="en", lang_scorer="columns", lang_col="lang")
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def docs_with_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return docs.unionByName(edge_df(spark))
-
-
-# ---------------------------------------------------------------- preparation
-
-
-@query("prepare_stats", f"WITH {S.classified()} SELECT count(*) AS seen, "
-       + ", ".join(["count_if(reason = 'kept') AS kept"]
-                   + [f"count_if(reason = '{r}') AS dropped_{r}" for r in filters.REASONS])
-       + " FROM cls")
-def q_prepare_stats(spark, sf_dir):
-    return P.stats(P.classify(docs_with_edges(spark, sf_dir), PrepareOptions()))
-
-
-@query("prepare_stats_lang", f"WITH {S.classified(lang='en')} SELECT count(*) AS seen, "
-       + ", ".join(["count_if(reason = 'kept') AS kept"]
-                   + [f"count_if(reason = '{r}') AS dropped_{r}" for r in filters.REASONS])
-       + " FROM cls")
-def q_prepare_stats_lang(spark, sf_dir):
-    return P.stats(P.classify(docs_with_edges(spark, sf_dir), LANG_OPTS))
-
-
-@query("drop_reason", f"WITH {S.classified(lang='en')} SELECT doc_id, reason FROM cls")
-def q_drop_reason(spark, sf_dir):
-    return P.classify(docs_with_edges(spark, sf_dir), LANG_OPTS).select("doc_id", "reason")
-
-
-def _text_projection(df: DataFrame, expr) -> DataFrame:
-    t = expr(F.col("text"))
-    return df.select("doc_id", TX.text_sha1(t).alias("text_sha1"), F.length(t).alias("n_chars"))
-
-
-def _text_projection_sql(expr: str) -> str:
-    return (f"WITH src AS ({S.src_with_edges()}) "
-            f"SELECT doc_id, sha1({expr}) AS text_sha1, length({expr}) AS n_chars FROM src")
-
-
-@query("normalize_nfc", _text_projection_sql(S.nfc("text")))
-def q_normalize_nfc(spark, sf_dir):
-    return _text_projection(docs_with_edges(spark, sf_dir), TX.nfc)
-
-
-@query("strip_control", _text_projection_sql(S.strip_control("text")))
-def q_strip_control(spark, sf_dir):
-    return _text_projection(docs_with_edges(spark, sf_dir), TX.strip_control)
-
-
-@query("collapse_ws", _text_projection_sql(S.collapse_ws("text")))
-def q_collapse_ws(spark, sf_dir):
-    return _text_projection(docs_with_edges(spark, sf_dir), TX.collapse_ws)
-
-
-@query("normalize_text", _text_projection_sql(S.normalize("text")))
-def q_normalize_text(spark, sf_dir):
-    return _text_projection(docs_with_edges(spark, sf_dir), TX.normalize_text)
-
-
-@query("filter_length", f"WITH src AS ({S.src_with_edges()}) SELECT doc_id FROM src "
-       f"WHERE length({S.normalize('text')}) BETWEEN 200 AND 200000")
-def q_filter_length(spark, sf_dir):
-    df = docs_with_edges(spark, sf_dir).withColumn("t", TX.normalize_text(F.col("text")))
-    return filters.filter_length(df, "t", 200, 200_000).select("doc_id")
-
-
-@query("filter_nonblank", f"WITH src AS ({S.src_with_edges()}) SELECT doc_id FROM src WHERE NOT {S.is_blank('text')}")
-def q_filter_nonblank(spark, sf_dir):
-    return filters.filter_nonblank(docs_with_edges(spark, sf_dir)).select("doc_id")
-
-
-@query("doc_hash", f"WITH src AS ({S.src_with_edges()}) SELECT doc_id, sha1({S.normalize('text')}) AS doc_hash FROM src")
-def q_doc_hash(spark, sf_dir):
-    df = docs_with_edges(spark, sf_dir)
-    return df.select("doc_id", TX.text_sha1(TX.normalize_text(F.col("text"))).alias("doc_hash"))
-
-
-@query("dedup_exact", f"WITH {S.classified()} SELECT doc_id, source, doc_hash FROM cls WHERE reason = 'kept'")
-def q_dedup_exact(spark, sf_dir):
-    return P.kept_rows(P.classify(docs_with_edges(spark, sf_dir))).select("doc_id", "source", "doc_hash")
-
-
-@query("dedup_exact_raw", "SELECT doc_id, source, sha1(text) AS doc_hash FROM documents "
-       "QUALIFY doc_id = min(doc_id) OVER (PARTITION BY sha1(text))")
-def q_dedup_exact_raw(spark, sf_dir):
-    """Exact dedup on the raw text, no other filter (first doc_id wins)."""
-    df = table(spark, sf_dir, "documents").select("doc_id", "source", TX.text_sha1(F.col("text")).alias("doc_hash"))
-    return dedup.dedup_exact(df)
+from quarry.plans import q_prepare, q_sampling, q_sources  # noqa: F401
+from quarry.plans.registry import ORACLE, QUERIES  # noqa: F401

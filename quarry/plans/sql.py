@@ -55,3 +55,28 @@ cls AS (
   SELECT doc_id, source, lang, norm_text, n_chars, doc_hash,
     coalesce(r0, CASE WHEN doc_id = first_id THEN 'kept' ELSE 'dup' END) AS reason
   FROM win)"""
+
+
+def seeded_hash(seed: int, key: str) -> str:
+    return f"sha1('{seed}:' || CAST({key} AS VARCHAR))"
+
+
+def hash_uniform(h: str, start: int = 9) -> str:
+    return f"(CAST(('0x' || substr({h}, {start}, 8)) AS UBIGINT) / CAST(4294967296 AS DOUBLE))"
+
+
+def split_case(key: str, seed: int = 42, ratio: float = 0.05) -> str:
+    return (f"CASE WHEN {hash_uniform(seeded_hash(seed, key))} < CAST({float(ratio)!r} AS DOUBLE) "
+            f"THEN 'val' ELSE 'train' END")
+
+
+def kept(min_chars: int = 200, max_chars: int = 200_000) -> str:
+    """CTE chain ending in ``kept`` (rows that survive the preparation stage)."""
+    return classified(min_chars, max_chars) + ",\nkept AS (SELECT * FROM cls WHERE reason = 'kept')"
+
+
+def pairs() -> str:
+    """CTE ``pairs(conv_id, turn, prompt, response)`` from conversations."""
+    return ("pairs AS (SELECT u.conv_id, u.turn, u.text AS prompt, a.text AS response "
+            "FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 "
+            "AND a.role = 'assistant' WHERE u.role = 'user')")
