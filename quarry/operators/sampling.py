@@ -45,21 +45,27 @@ def holdout_sources(df: DataFrame, sources: list[str], key: str = "doc_hash", se
 
 
 def global_rank(df: DataFrame, hash_col: str, tie_col: str, partition_cols: list[str] | None = None,
-                digits: int = 4, out: str = "rank") -> DataFrame:
+                digits: int = 4, out: str = "rank", value_col: str | None = None) -> DataFrame:
     """0-based rank of each row by (hash_col, tie_col) within ``partition_cols``.
 
+    With ``value_col`` the result is instead the running sum of that column over
+    the preceding rows (exclusive prefix sum), e.g. token offsets for packing.
     ``hash_col`` must be a uniform hex string (e.g. SHA-1).
     """
     parts = list(partition_cols or [])
-    bk = F.substring(F.col(hash_col), 1, digits)
-    keyed = df.withColumn("_bk", bk)
-    counts = keyed.groupBy(*parts, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*parts).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    val = F.col(value_col) if value_col else F.lit(1)
+    keyed = df.withColumn("__gr_bk", F.substring(F.col(hash_col), 1, digits)).withColumn("__gr_v", val.cast("bigint"))
+    counts = keyed.groupBy(*parts, "__gr_bk").agg(F.sum("__gr_v").alias("__gr_n"))
+    w = Window.partitionBy(*parts).orderBy("__gr_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__gr_off", F.coalesce(F.sum("__gr_n").over(w), F.lit(0))).drop("__gr_n")
     # offsets hold at most 16**digits rows per partition value: broadcast is size-bounded
-    ranked = keyed.join(F.broadcast(offsets), on=[*parts, "_bk"])
-    wr = Window.partitionBy(*parts, "_bk").orderBy(hash_col, tie_col)
-    return ranked.withColumn(out, F.col("_off") + F.row_number().over(wr) - 1).drop("_bk", "_off")
+    ranked = keyed.join(F.broadcast(offsets), on=[*parts, "__gr_bk"])
+    wr = Window.partitionBy(*parts, "__gr_bk").orderBy(hash_col, tie_col)
+    if value_col:
+        inner = F.coalesce(F.sum("__gr_v").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    else:
+        inner = F.row_number().over(wr) - 1
+    return ranked.withColumn(out, F.col("__gr_off") + inner).drop("__gr_bk", "__gr_off", "__gr_v")
 
 
 def shuffle_rank(df: DataFrame, key: str, seed: int = 42, partition_cols: list[str] | None = None,

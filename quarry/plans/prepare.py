@@ -12,22 +12,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators import dedup, filters
 from quarry.plans.options import PrepareOptions
-from quarry.session import staging_dir
+from quarry.session import stage  # noqa: F401
 
 STATS_COLUMNS = ["seen", "kept", "dropped_empty", "dropped_short", "dropped_long", "dropped_lang", "dropped_dup"]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts lineage (the Arrow NFC step and regexes run once even when several
-    branches read the result) and survives executor loss.
-    """
-    path = staging_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def language_ok(df: DataFrame, opts: PrepareOptions, lang_model: DataFrame | None = None,
                 text_col: str = "norm_text", key_col: str = "doc_id") -> tuple[DataFrame, Column | None]:
     """Resolve the language gate: returns (df with score columns, boolean Column or None)."""
@@ -41,7 +30,7 @@ def language_ok(df: DataFrame, opts: PrepareOptions, lang_model: DataFrame | Non
 
         if lang_model is None:
             raise ValueError("lang_scorer='ngram' needs a trained lang_model")
-        scored = langid.score(df, lang_model, text_col=text_col, key_col=key_col,
+        scored = langid.with_scores(df, lang_model, text_col=text_col, key_col=key_col,
                               label_col="_lid_label", score_col="_lid_score")
         return scored, filters.lang_gate(F.col("_lid_label"), F.col("_lid_score"), opts.lang, opts.lang_min_score)
     raise ValueError(f"unknown lang_scorer {opts.lang_scorer!r}")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.plans.edge_rows import edge_df
 from quarry.plans.options import PrepareOptions
+from quarry.session import rebalance
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,8 +27,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return rebalance(df, KEYS.get(name)) if name in KEYS else df
 
 
 def docs_with_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,31 @@ def staging_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/quarry-staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Used where a table feeds several branches (it is computed once), to cut
+    lineage, and to freeze nondeterministic ids; files on shared storage
+    survive executor loss.
+    """
+    path = staging_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def rebalance(df, key: str | None = None, min_partitions: int | None = None):
+    """Spread a scan over the cluster when it yields fewer splits than cores.
+
+    A Parquet file with a single row group is read by one task whatever its
+    size; CPU-heavy text stages then run serially. When the scan already has
+    enough splits (the normal case for large inputs) this is a no-op and adds
+    no shuffle.
+    """
+    spark = df.sparkSession
+    want = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    have = df.rdd.getNumPartitions() if hasattr(df, "rdd") else want
+    if have >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
