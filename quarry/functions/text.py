@@ -67,14 +67,22 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(c, F.lit(WS_RUN), F.lit("")), F.lit("")) == ""
 
 
+# The Windows-1252 characters of bytes 0x80-0x9F, in byte order
+# (0x81, 0x8D, 0x8F, 0x90 and 0x9D are unassigned and map to themselves).
+CP1252_HIGH = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+C1_CONTROLS = "".join(chr(c) for c in range(0x80, 0xA0))
+
+
 def fix_mojibake(c: Column) -> Column:
-    """Repair UTF-8 text that was decoded as Latin-1 (e.g. 'gÄ\\x99Å\\x9b' -> 'gęś').
+    """Repair UTF-8 text that was decoded as Latin-1 or Windows-1252 ('gÄ\x99Å\x9b' or
+    'gÄ™Å›' -> 'gęś').
 
-    Only text made entirely of U+0000-U+00FF is a candidate; its Latin-1 bytes must
-    form valid UTF-8 holding at least one multi-byte sequence, otherwise the text is
-    returned unchanged (so 'café' stays 'café').
+    Windows-1252 punctuation is first mapped back to its byte value; text whose
+    code points then all fit in one byte, with at least one above 0x7F, is
+    re-encoded and kept only if the bytes form valid UTF-8. Anything else is
+    returned unchanged (so 'café' and 'zażółć' stay as they are).
     """
-    latin = F.when(c.rlike("^[\\x00-\\xFF]*$") & c.rlike("[\\x80-\\xFF]"), c)
-    raw = F.encode(latin, "ISO-8859-1")
-    repaired = F.try_validate_utf8(raw.cast("string"))
+    bytes_view = F.translate(c, CP1252_HIGH, C1_CONTROLS)
+    latin = F.when(bytes_view.rlike("^[\\x00-\\xFF]*$") & bytes_view.rlike("[\\x80-\\xFF]"), bytes_view)
+    repaired = F.try_validate_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
     return F.coalesce(repaired, c)

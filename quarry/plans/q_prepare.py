@@ -101,3 +101,26 @@ def q_dedup_exact_raw(spark, sf_dir):
     """Exact dedup on the raw text, no other filter (first doc_id wins)."""
     df = table(spark, sf_dir, "documents").select("doc_id", "source", TX.text_sha1(F.col("text")).alias("doc_hash"))
     return dedup.dedup_exact(df)
+
+
+@query("fix_mojibake", "SELECT doc_id, 'orig' AS variant, sha1(text) AS text_sha1, false AS repaired FROM documents "
+       "UNION ALL SELECT doc_id, 'moji', sha1(text), regexp_matches(text, '[^\\x00-\\x7F]') FROM documents")
+def q_fix_mojibake(spark, sf_dir):
+    """Every document as is and as Latin-1 mojibake (its UTF-8 bytes read as Latin-1):
+    the repair must return the original text for both and leave clean text untouched."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    moji = F.decode(F.encode(F.col("text"), "UTF-8"), "ISO-8859-1")
+    both = docs.select("doc_id", F.lit("orig").alias("variant"), F.col("text").alias("t")).unionByName(
+        docs.select("doc_id", F.lit("moji").alias("variant"), moji.alias("t")))
+    fixed = TX.fix_mojibake(F.col("t"))
+    return both.select("doc_id", "variant", TX.text_sha1(fixed).alias("text_sha1"), (fixed != F.col("t")).alias("repaired"))
+
+
+@query("default_source", "SELECT doc_id, CASE lang WHEN 'de' THEN 'unknown' WHEN 'es' THEN NULL ELSE source END AS source "
+       "FROM documents WHERE lang <> 'fr'")
+def q_default_source(spark, sf_dir):
+    """Typed text load of JSONL where 'de' rows lack the source key (-> 'unknown') and
+    'es' rows carry an explicit null (kept null)."""
+    from quarry.plans.q_sources import q_load_text
+
+    return q_load_text(spark, sf_dir).select("doc_id", "source")
