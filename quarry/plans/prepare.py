@@ -68,3 +68,36 @@ def stats(classified: DataFrame) -> DataFrame:
 
 def kept_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reason") == "kept")
+
+
+def zero_stats(spark) -> DataFrame:
+    return spark.createDataFrame([tuple([0] * len(STATS_COLUMNS))], STATS_COLUMNS)
+
+
+def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions(), lang_model=None,
+        fmt: str = "json", glob: str = "*.jsonl", dry_run: bool = False) -> DataFrame:
+    """Prepare a raw JSONL corpus directory into train/val shards; returns the stats row.
+
+    ``source`` is scanned recursively (malformed lines are skipped and not seen);
+    kept rows {text, source} are written to ``output/split=<train|val>/shard=<n>/``.
+    A dry run or a missing source returns zero counters without reading anything.
+    """
+    import os
+
+    from pyspark.sql import types as T
+
+    from quarry.operators import sampling
+    from quarry.sources import jsonl, sinks
+
+    if dry_run or (source.startswith("/") and not os.path.exists(source)):
+        return zero_stats(spark)
+    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
+    recs = jsonl.scan_jsonl_lenient(spark, source, schema, glob)
+    rows = recs.select("order_key", "text", jsonl.default_if_missing("source", "unknown"))
+    cls = classify(rows, opts, key_col="order_key", lang_model=lang_model)
+    kept = kept_rows(cls).withColumn("text", F.col("norm_text"))
+    split = sampling.split_train_val(kept, "doc_hash", opts.seed, opts.val_ratio)
+    sharded = sampling.assign_shards(split, "doc_hash", opts.shard_size, opts.seed)
+    sinks.write_shards(sharded, output, fmt=fmt)
+    st = stats(cls)
+    return spark.createDataFrame(st.collect(), st.schema)  # one row
