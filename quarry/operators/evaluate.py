@@ -41,7 +41,8 @@ def mcqa_prompt(question: Column, choice: Column) -> Column:
 
 def expand_choices(items: DataFrame) -> DataFrame:
     """(question, choices, answer_index) rows -> one row per (item, choice_index, prompt)."""
-    return items.select("item_id", "answer_index", F.posexplode("choices").alias("choice_index", "choice")).withColumn(
+    return items.select("item_id", "question", "answer_index",
+                        F.posexplode("choices").alias("choice_index", "choice")).withColumn(
         "prompt", mcqa_prompt(F.col("question"), F.col("choice")))
 
 
