@@ -5,7 +5,15 @@ import pytest
 import __spark_entry__ as E
 from tests.oracle_harness import compare, duck
 
+import os
+
 SF = "/root/testdata/sf0.001"
+# The full differential run (every query, ~15 min locally) is enabled with QUARRY_FULL_ORACLE=1;
+# by default one query per operator family runs.
+REPRESENTATIVE = ["prepare_stats_lang", "normalize_text", "dedup_exact", "assign_shards", "scan_jsonl_lenient",
+                  "load_text", "ingest_union", "missing_shards", "tokenize", "langid_score", "near_dup_pairs",
+                  "mcqa_accuracy", "fix_mojibake"]
+NAMES = sorted(E.queries()) if os.environ.get("QUARRY_FULL_ORACLE") else REPRESENTATIVE
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +21,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
     assert res["status"] in ("ok", "rows-only"), res
