@@ -66,6 +66,31 @@ def stats(classified: DataFrame) -> DataFrame:
     )
 
 
+def quick_stats(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text",
+                key_col: str = "doc_id", lang_model: DataFrame | None = None) -> DataFrame:
+    """The counters of ``stats(classify(df))`` without per-row dup flags.
+
+    Duplicates among the rows that passed every other check are
+    ``#rows - #distinct fingerprints``, so one scan and one narrow aggregate
+    suffice: no staging, no join back.
+    """
+    norm = filters.with_prefilter_reason(filters.with_normalized(df, text_col=text_col), opts)
+    if opts.lang_scorer is not None:
+        gated = norm.withColumn("_gate_text", F.when(F.col("reason").isNull(), F.col("norm_text")))
+        gated, ok = language_ok(gated, opts, lang_model, text_col="_gate_text", key_col=key_col)
+        norm = gated.withColumn("reason", F.when(F.col("reason").isNull() & ~ok, F.lit("lang")).otherwise(F.col("reason")))
+    r = F.col("reason")
+    passed = r.isNull()
+    agg = norm.agg(
+        F.count(F.lit(1)).alias("seen"),
+        F.count_distinct(F.when(passed, F.col("doc_hash"))).alias("kept"),
+        *[F.count_if(r == x).alias(f"dropped_{x}") for x in filters.REASONS if x != "dup"],
+        F.count_if(passed).alias("_passed"),
+    )
+    return agg.select("seen", "kept", *[f"dropped_{x}" for x in filters.REASONS if x != "dup"],
+                      (F.col("_passed") - F.col("kept")).alias("dropped_dup"))
+
+
 def kept_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reason") == "kept")
 

@@ -26,7 +26,7 @@ from quarry.plans.registry import LANG_OPTS, ORACLE, QUERIES, docs_with_edges, q
                    + [f"count_if(reason = '{r}') AS dropped_{r}" for r in filters.REASONS])
        + " FROM cls")
 def q_prepare_stats(spark, sf_dir):
-    return P.stats(P.classify(docs_with_edges(spark, sf_dir), PrepareOptions()))
+    return P.quick_stats(docs_with_edges(spark, sf_dir), PrepareOptions())
 
 
 @query("prepare_stats_lang", f"WITH {S.classified(lang='en')} SELECT count(*) AS seen, "
@@ -34,7 +34,7 @@ def q_prepare_stats(spark, sf_dir):
                    + [f"count_if(reason = '{r}') AS dropped_{r}" for r in filters.REASONS])
        + " FROM cls")
 def q_prepare_stats_lang(spark, sf_dir):
-    return P.stats(P.classify(docs_with_edges(spark, sf_dir), LANG_OPTS))
+    return P.stats(P.classify(docs_with_edges(spark, sf_dir), LANG_OPTS))  # row-level path, same counters
 
 
 @query("drop_reason", f"WITH {S.classified(lang='en')} SELECT doc_id, reason FROM cls")
