@@ -36,7 +36,8 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> tup
     """Returns (model, priors): model(lang, gram, lp, delta) for seen pairs, priors(lang, lp0)."""
     occ = df.where(F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("lang"), F.explode(grams(F.col(text_col))).alias("gram"))
-    counts = occ.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("count"))
+    # (lang, gram, count) is small next to the text and feeds totals, V and lp: compute it once
+    counts = stage(occ.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("count")), "langid-counts")
     totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))  # one row per language
     v = counts.select(F.countDistinct("gram")).scalar()
     priors = totals.select("lang", F.round(F.log(F.lit(1.0) / (F.col("total") + v)) * MICRO).cast("bigint").alias("lp0"),

@@ -31,9 +31,9 @@ def _pairs(df: DataFrame, key_col: str, ids_col: str) -> DataFrame:
 def train(df: DataFrame, key_col: str = "doc_id", ids_col: str = "ids") -> tuple[DataFrame, DataFrame]:
     """(bigrams(v, w, c), contexts(v, cv)) counted over the training rows; both materialized."""
     pairs = _pairs(df, key_col, ids_col)
-    bigrams = pairs.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
-    contexts = bigrams.groupBy("v").agg(F.sum("c").alias("cv"))
-    return stage(bigrams, "lm-bigrams"), stage(contexts, "lm-contexts")
+    bigrams = stage(pairs.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c")), "lm-bigrams")
+    contexts = stage(bigrams.groupBy("v").agg(F.sum("c").alias("cv")), "lm-contexts")
+    return bigrams, contexts
 
 
 def nll(df: DataFrame, model: tuple[DataFrame, DataFrame], n_ids: int, k: float = 1.0, key_col: str = "doc_id",

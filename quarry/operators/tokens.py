@@ -41,7 +41,8 @@ def build_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 32_000)
         F.count(F.lit(1)).alias("count"))
     top = counts.orderBy(F.col("count").desc(), F.col("token")).limit(vocab_size)
     w = Window.orderBy(F.col("count").desc(), F.col("token"))
-    return top.withColumn("id", (F.row_number().over(w) + (N_RESERVED - 1)).cast("int"))
+    # the vocabulary is a model artifact read by every tokenize job: materialize it once
+    return stage(top.withColumn("id", (F.row_number().over(w) + (N_RESERVED - 1)).cast("int")), "vocab")
 
 
 def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: str = "doc_id",

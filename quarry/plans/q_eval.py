@@ -34,7 +34,7 @@ TARGETS = {"heldout_ppl": ("rel_drop", 0.25), "mcqa": ("min_gain", 0.03)}
 
 def _corpus(spark, sf_dir):
     sp = SM.split_train_val(kept(spark, sf_dir), "doc_hash", SEED, 0.05).select("doc_id", "norm_text", "split")
-    vocab = stage(TK.build_vocab(sp.where(F.col("split") == "train"), "norm_text", VOCAB), "vocab")
+    vocab = TK.build_vocab(sp.where(F.col("split") == "train"), "norm_text", VOCAB)
     ids = stage(TK.tokenize(sp, vocab, "norm_text", "doc_id", carry=("split",)), "ids")
     model = LM.train(ids.where(F.col("split") == "train"))
     return vocab, ids, model
