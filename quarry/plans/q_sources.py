@@ -167,3 +167,39 @@ def q_select_shards(spark, sf_dir):
        "EXCEPT SELECT source FROM documents")
 def q_missing_shards(spark, sf_dir):
     return IG.missing_shards(spark, table(spark, sf_dir, "documents"), REQUESTED_WITH_UNKNOWN)
+
+
+# ---------------------------------------------------------------- end to end over files
+
+def _prepare_run(spark, sf_dir):
+    from quarry.plans import prepare as P
+    from quarry.plans.options import PrepareOptions
+
+    docs = table(spark, sf_dir, "documents")
+    lines = docs.select(F.to_json(F.struct("text", "source")).alias("value")).repartition(4)
+    raw = _stage_lines(lines, "raw-corpus")
+    out = staging_dir(spark, "prepared")
+    stats = P.run(spark, raw, out, PrepareOptions(shard_size=100), glob=GLOB)
+    return stats, out
+
+
+_RUN_CTE = S.classified(src="SELECT doc_id, text, lang, source FROM documents")
+
+
+@query("prepare_run", f"WITH {_RUN_CTE} SELECT count(*) AS seen, count_if(reason = 'kept') AS kept, "
+       + ", ".join(f"count_if(reason = '{r}') AS dropped_{r}" for r in ("empty", "short", "long", "lang", "dup"))
+       + " FROM cls")
+def q_prepare_run(spark, sf_dir):
+    """documents written as JSONL files, prepared end to end (scan -> normalize -> filters ->
+    dedup -> split -> shards -> write); returns the run's counters."""
+    stats, _ = _prepare_run(spark, sf_dir)
+    return stats
+
+
+@query("prepare_run_output", f"WITH {_RUN_CTE} SELECT {S.split_case('doc_hash', 42, 0.05)} AS split, "
+       "count(*) AS n_rows, count(DISTINCT source) AS n_sources FROM cls WHERE reason = 'kept' GROUP BY ALL")
+def q_prepare_run_output(spark, sf_dir):
+    """Rows per split read back from the written train/val shards."""
+    _, out = _prepare_run(spark, sf_dir)
+    back = spark.read.json(out)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source").alias("n_sources"))
