@@ -82,7 +82,8 @@ def rebalance(df, key: str | None = None, min_partitions: int | None = None):
     no shuffle.
     """
     spark = df.sparkSession
-    want = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    # total executor cores: the number of tasks that can run at once
+    want = min_partitions or spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions() if hasattr(df, "rdd") else want
     if have >= want:
         return df
