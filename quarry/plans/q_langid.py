@@ -27,8 +27,10 @@ vsz AS (SELECT count(DISTINCT gram) AS v FROM cnt),
 model AS (SELECT cnt.lang, gram, CAST(round(ln((c + 1) / (total + v)) * 1e6) AS BIGINT) AS lp FROM cnt JOIN tot USING (lang), vsz),
 langs AS (SELECT lang, CAST(round(ln(1 / (total + v)) * 1e6) AS BIGINT) AS lp0 FROM tot, vsz)"""
 
-_SCORE_CTE = f"""{S.kept()}, {_TRAIN_CTE},
-dg AS (SELECT doc_id, gram, count(*) AS k FROM (SELECT doc_id, unnest({grams_sql('norm_text')}) AS gram FROM kept) GROUP BY ALL),
+def _score_body(src: str, text_col: str) -> str:
+    """CTE chain after the training CTEs: scores rows of ``src`` into ``post(doc_id, label, score)``."""
+    return f"""dg AS (SELECT doc_id, gram, count(*) AS k FROM (SELECT doc_id, unnest({grams_sql(text_col)}) AS gram FROM {src})
+         GROUP BY ALL),
 known AS (SELECT * FROM dg WHERE gram IN (SELECT gram FROM cnt)),
 sc AS (SELECT known.doc_id, langs.lang, sum(k * coalesce(model.lp, langs.lp0)) AS s
        FROM known CROSS JOIN langs LEFT JOIN model ON model.lang = langs.lang AND model.gram = known.gram
@@ -38,6 +40,10 @@ post AS (SELECT doc_id, arg_max(lang, (s, lang)) AS label,
          FROM sc GROUP BY doc_id)"""
 
 
+_SCORE_CTE = f"""{S.kept()}, {_TRAIN_CTE},
+{_score_body('kept', 'norm_text')}"""
+
+
 def _model(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(TX.normalize_text(F.col("text")).alias("text"), "lang")
     return LI.train(docs, "text", "lang")
@@ -74,3 +80,32 @@ def q_annotate_docs(spark, sf_dir):
     docs, sc = _scored(spark, sf_dir)
     return docs.join(sc, on="doc_id", how="left").select(
         "doc_id", "n_chars", F.col("label").alias("lang"), F.round("score", 6).alias("lang_score"))
+
+
+_GATED_SQL = f"""WITH src AS ({S.src_with_edges()}),
+norm AS (SELECT doc_id, source, lang, {S.normalize('text')} AS norm_text FROM src),
+pre AS (SELECT *, length(norm_text) AS n_chars, sha1(norm_text) AS doc_hash,
+    CASE WHEN coalesce(norm_text, '') = '' THEN 'empty' WHEN length(norm_text) < 200 THEN 'short'
+         WHEN length(norm_text) > 200000 THEN 'long' END AS r0 FROM norm),
+passed AS (SELECT doc_id, norm_text FROM pre WHERE r0 IS NULL),
+{_TRAIN_CTE},
+{_score_body('passed', 'norm_text')},
+gate AS (SELECT pre.*, CASE WHEN r0 IS NOT NULL THEN r0
+    WHEN NOT (coalesce(post.label = '{TARGET}', false) AND coalesce(post.score >= {MIN_SCORE}, false)) THEN 'lang' END AS r1
+    FROM pre LEFT JOIN post USING (doc_id)),
+win AS (SELECT *, min(CASE WHEN r1 IS NULL THEN doc_id END) OVER (PARTITION BY doc_hash) AS first_id FROM gate),
+cls AS (SELECT coalesce(r1, CASE WHEN doc_id = first_id THEN 'kept' ELSE 'dup' END) AS reason FROM win)
+SELECT count(*) AS seen, count_if(reason = 'kept') AS kept, count_if(reason = 'empty') AS dropped_empty,
+  count_if(reason = 'short') AS dropped_short, count_if(reason = 'long') AS dropped_long,
+  count_if(reason = 'lang') AS dropped_lang, count_if(reason = 'dup') AS dropped_dup FROM cls"""
+
+
+@query("prepare_stats_ngram", _GATED_SQL)
+def q_prepare_stats_ngram(spark, sf_dir):
+    """Preparation counters with the trained trigram scorer as the language gate ('en' >= 0.9)."""
+    from quarry.plans import prepare as P
+    from quarry.plans.options import PrepareOptions
+    from quarry.plans.registry import docs_with_edges
+
+    opts = PrepareOptions(lang=TARGET, lang_scorer="ngram", lang_min_score=MIN_SCORE)
+    return P.stats(P.classify(docs_with_edges(spark, sf_dir), opts, lang_model=_model(spark, sf_dir)))
