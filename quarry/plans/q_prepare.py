@@ -15,7 +15,7 @@ from quarry.operators import dedup, filters
 from quarry.plans import prepare as P
 from quarry.plans import sql as S
 from quarry.plans.options import PrepareOptions
-from quarry.plans.registry import LANG_OPTS, ORACLE, QUERIES, docs_with_edges, query, table  # noqa: F401
+from quarry.plans.registry import LANG_OPTS, docs_with_edges, query, table
 
 
 # ---------------------------------------------------------------- preparation
