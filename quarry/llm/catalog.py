@@ -1,4 +1,4 @@
 """All queries of the training-data operators (importing the modules registers them)."""
 
-from quarry.llm import op1_urls, op2_near, op6_shards, op10_lang  # noqa: F401
+from quarry.llm import op1_urls, op2_near, op3_mix, op5_quality, op6_shards, op8_decon, op10_lang  # noqa: F401
 from quarry.llm.registry import ORACLE, QUERIES  # noqa: F401
