@@ -10,16 +10,17 @@ form components, of which the smallest doc_id stays.
 2. Independent trees branch each document by minwise tokens. At the root of a
    tree a document goes to ``BRANCH`` children, one for each chosen token; as
    many trees are taken as ``recall`` asks for at the threshold.
-3. A node of at most ``SMALL`` documents is compared exhaustively. In a larger
-   node all documents are compared with its first one; those linked to it need
-   no comparison with each other. If at most ``SMALL`` others are left, they are
-   compared with the whole node; else the node branches on, by twice as many
-   tokens at each level, until no large node is left. Nodes whose members are
-   all linked end there.
+3. In every node the other documents are first compared with the smallest one.
+   Links merge components, and a node whose members are all of one component is
+   done: no pair in it can change the result. In what is left, a node of at most
+   ``SMALL`` documents, or with at most ``SMALL`` outside its main component, is
+   compared exhaustively between components; others branch on, by twice as many
+   tokens at each level, until no node is left.
 4. Candidates must pass the size filter (exact) and a filter on 64 one-bit
    minwise tokens (``BITS_APART``; a pair at the threshold fails it with a
-   probability below 1e-7). What is left is verified on the full sets.
-5. Components come from the verified links between classes.
+   probability below 1e-7). What is left is verified on the full sets, taken
+   again from the texts of those documents alone; their ids are broadcast up to
+   ``ID_ROWS`` rows (counted) and joined by a shuffle beyond.
 
 Edge cases: a text without words, or null, has the empty set and is linked with
 nothing. A null doc_id is linked with nothing, its component is null and it is
@@ -45,6 +46,7 @@ COORDS = 64
 BRANCH = 2
 SMALL = 64
 BITS_APART = 20
+ID_ROWS = 2_000_000
 WIDTH = 5
 
 _RNG = np.random.default_rng(7)
@@ -52,7 +54,6 @@ _XOR = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNATURE = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, bits bigint, sig array<bigint>"
-SETS = "doc_id bigint, hashes binary"
 
 
 def trees_for(recall: float, num: int, den: int) -> int:
@@ -95,14 +96,15 @@ def _signature_batches(batches):
             ], names=["doc_id", "n", "fp1", "fp2", "bits", "sig"])
 
 
-def _set_batches(batches):
-    for batch in batches:
-        ids = batch.column("doc_id")
-        for lo, hi, data, offsets in textops.slices(batch, "text"):
-            sets = textops.shingle_sets(data, offsets, WIDTH)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["doc_id", "hashes"])
+def _set_batches(ids: list[str], name: str):
+    def sets_of(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in textops.slices(batch, "text"):
+                sets = textops.shingle_sets(data, offsets, WIDTH)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(lo, hi - lo) for c in ids), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=[*ids, name])
+    return sets_of
 
 
 def _linked_batches(num: int, den: int):
@@ -125,20 +127,21 @@ def _near(a: str, b: str, num: int, den: int):
     return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (apart <= BITS_APART)
 
 
-def _pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs within the nodes that ``left`` and ``right`` share."""
-    a, b = left.alias("a"), right.alias("b")
-    return a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-                  & _near("a", "b", num, den)).select(
-        F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).where("id_a <> id_b")
+def _with_sets(docs: DataFrame, ids: DataFrame, own: str, name: str) -> DataFrame:
+    """``ids`` with the set of the documents in their column ``own``, from the texts of those documents alone."""
+    if ids.count() <= ID_ROWS:
+        ids = F.broadcast(ids)
+    others = [c for c in ids.columns if c != own]
+    return docs.withColumnRenamed("doc_id", own).join(ids, own).select(own, *others, "text").mapInArrow(
+        _set_batches([own, *others], name), ", ".join(f"{c} bigint" for c in [own, *others]) + f", {name} binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that pass on the full sets. The greater id joins first: many pairs share their smaller id."""
-    held = pairs.distinct().join(sets.select(F.col("doc_id").alias("id_b"), F.col("hashes").alias("set_b")), "id_b")
-    held = held.join(sets.select(F.col("doc_id").alias("id_a"), F.col("hashes").alias("set_a")), "id_a")
-    return held.select("id_a", "id_b", "set_a", "set_b").mapInArrow(
-        _linked_batches(num, den), "id_a bigint, id_b bigint").distinct()
+def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
+    """The staged pairs that pass on the full sets. Both sets of a pair meet by its smaller id, the one that repeats."""
+    first = stage(pairs.select("id_a").distinct(), "path-ids")
+    both = _with_sets(docs, pairs, "id_b", "set_b").join(_with_sets(docs, first, "id_a", "set_a"), "id_a")
+    return stage(both.select("id_a", "id_b", "set_a", "set_b").mapInArrow(
+        _linked_batches(num, den), "id_a bigint, id_b bigint").distinct(), "path-links")
 
 
 def _children(open_rows: DataFrame, sigs: DataFrame, level: int) -> DataFrame:
@@ -149,25 +152,30 @@ def _children(open_rows: DataFrame, sigs: DataFrame, level: int) -> DataFrame:
         tokens = [F.element_at("sig", (F.pmod(F.xxhash64("node", F.lit(branch), F.lit(j)), F.lit(COORDS)) + 1).cast("int"))
                   for j in range(min(2 ** level, COORDS))]
         children.append(F.xxhash64("node", F.lit(branch), *tokens))
-    return rows.select(F.explode(F.array(*children)).alias("node"), "id", "n", "bits", "label").distinct()
+    return rows.select(F.explode(F.array(*children)).alias("node"), "id", "n", "bits").distinct()
 
 
-def _near_pivot(num: int, den: int):
-    lo, hi = F.least("n", "p.n"), F.greatest("n", "p.n")
-    return (lo * den >= hi * num) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) <= BITS_APART)
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the label of their id: the component it is in so far, else itself."""
+    return rows.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "label", F.coalesce("label", "id"))
+
 
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after more links."""
+    return connected_components(edges.union(labels.select("node", "label").where("node <> label")))
 
-def _settle(many: DataFrame, edges: DataFrame) -> DataFrame:
-    """Large nodes without their first document, which has met all others; those linked to it take its label."""
-    linked = edges.select(F.col("id_a").alias("first"), F.col("id_b").alias("id"), F.lit(True).alias("_linked"))
-    rows = many.where(F.col("id") != F.col("p.id")).select(
-        "node", "id", "n", "bits", "label", F.col("p.id").alias("first"), F.col("p.label").alias("pivot"))
-    return rows.join(linked, ["first", "id"], "left").select(
-        "node", "id", "n", "bits", "pivot", F.when(F.col("_linked"), F.col("pivot")).otherwise(F.col("label")).alias("label"))
+
+def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose two documents are in different components so far."""
+    own = labels.where("node <> label")
+    rows = pairs.join(own.select(F.col("node").alias("id_a"), F.col("label").alias("_a")), "id_a", "left").join(
+        own.select(F.col("node").alias("id_b"), F.col("label").alias("_b")), "id_b", "left")
+    return rows.where(F.coalesce("_a", "id_a") != F.coalesce("_b", "id_b")).select("id_a", "id_b")
 
 
 def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float = 0.999999, small: int = SMALL) -> DataFrame:
-    """Verified (id_a, id_b) between class representatives: enough of them to give every component.
+    """(node, label) of every class representative that is linked with another.
 
     ``reps``: doc_id, n, bits, sig. ``docs``: doc_id, text.
     """
@@ -176,41 +184,54 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         F.posexplode(F.slice("sig", 1, roots)).alias("_c", "_token"), F.col("doc_id").alias("id"), "n", "bits"
     ).select(F.xxhash64("_c", "_token").alias("node"), "id", "n", "bits", F.col("id").alias("label"))
     sigs = reps.select(F.col("doc_id").alias("id"), "sig")
-    found, sets, level = [], None, 0
+    labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
+
+    def meet(pairs: DataFrame) -> None:
+        """Verify the staged pairs and merge the components of those linked."""
+        nonlocal labels
+        if not pairs.isEmpty():
+            edges = _verified(pairs, docs, num, den)
+            if not edges.isEmpty():
+                labels = _merged(labels, edges)
+
+    level = 0
     while True:
         nodes = rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n", "bits", "label")).alias("p"),
-            F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").drop("_lo", "_hi")
-        held = stage(rows.join(nodes, "node"), "path-nodes")
+            F.min(F.struct("id", "n", "bits")).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
+        ).where("_lo <> _hi").select("node", "p")
+        held = stage(rows.drop("label").join(nodes, "node").where(F.col("id") != F.col("p.id")), "path-nodes")
         if held.isEmpty():
-            break
-        few, many = held.where(F.col("size") <= small), held.where(F.col("size") > small)
-        star = many.where((F.col("p.label") != F.col("label")) & _near_pivot(num, den)).select(
-            F.col("p.id").alias("id_a"), F.col("id").alias("id_b"))
-        pairs = stage(_pairs(few, few, num, den).union(star).distinct(), "path-pairs")
-        if sets is None:
-            # the sets of all documents that any comparison below can ask for, from one pass over the texts
-            wanted = pairs.select(F.col("id_a").alias("doc_id")).union(pairs.select("id_b")).union(
-                many.select("id")).distinct()
-            sets = stage(docs.join(stage(wanted, "path-ids"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
-                _set_batches, SETS), "path-sets")
-        edges = stage(_verified(pairs, sets, num, den), "path-links")
-        found.append(edges)
+            return labels
+        # each document with the first one of its nodes: the smallest of them at once, others where still apart
+        star = stage(held.where(_near_first(num, den)).select(F.col("p.id").alias("id_a"), F.col("id").alias("id_b")).distinct(),
+                     "path-stars")
+        nearest = stage(star.groupBy("id_b").agg(F.min("id_a").alias("id_a")).select("id_a", "id_b"), "path-pairs")
+        meet(nearest)
+        meet(stage(_open(star.join(nearest, ["id_a", "id_b"], "left_anti"), labels), "path-pairs"))
+        # the first document of a node has met all others; what is left to compare are its other components
+        seen = stage(_labelled(held.drop("p"), labels), "path-rows")
+        parts = seen.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("node").agg(
+            F.sum("m").alias("size"), F.max(F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        left = stage(seen.join(parts.where("parts > 1").drop("parts"), "node"), "path-rows")
+        if left.isEmpty():
+            return labels
+        few = left.where((F.col("size") <= small) | (F.col("size") - F.col("main.m") <= small))
+        others = few.where(F.col("label") != F.col("main.label"))
+        a, b = others.alias("a"), few.alias("b")
+        pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
+                       & _near("a", "b", num, den)).select(
+            F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
+        meet(stage(pairs, "path-pairs"))
+        many = left.where((F.col("size") > small) & (F.col("size") - F.col("main.m") > small))
         if many.isEmpty():
-            break
-        settled = _settle(many, edges)
-        rest = settled.where("label <> pivot").groupBy("node").agg(F.count(F.lit(1)).alias("left"))
-        settled = stage(settled.join(rest, "node"), "path-settled")
-        others = settled.where((F.col("left") <= small) & (F.col("label") != F.col("pivot")))
-        late = _verified(_pairs(others, settled.where(F.col("left") <= small), num, den), sets, num, den)
-        found.append(stage(late, "path-links"))
+            return labels
         level += 1
-        rows = stage(_children(settled.where(F.col("left") > small).select("node", "id", "n", "bits", "label"),
-                               sigs, level), "path-children")
-    out = docs.sparkSession.createDataFrame([], "id_a bigint, id_b bigint")
-    for edges in found:
-        out = out.union(edges)
-    return out
+        rows = stage(_labelled(_children(many.select("node", "id", "n", "bits"), sigs, level), labels), "path-children")
+
+
+def _near_first(num: int, den: int):
+    lo, hi = F.least("n", "p.n"), F.greatest("n", "p.n")
+    return (lo * den >= hi * num) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) <= BITS_APART)
 
 
 def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0.999999, small: int = SMALL,
@@ -229,7 +250,7 @@ def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0
         F.coalesce("first.row", "row").alias("rep_row")), "path-members")
     others = members.where("row <> rep_row").select("row")
     reps = whole.join(others, "row", "left_anti").select("doc_id", "n", "bits", "sig")
-    found = connected_components(links(reps, docs, num, den, recall, small))
+    found = links(reps, docs, num, den, recall, small)
     out = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("label", "rep")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
