@@ -205,10 +205,15 @@ def identify(docs: DataFrame, key_col: str = "doc_id") -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3, key_col: str = "doc_id") -> DataFrame:
-    """``docs`` without those of no language: no letter, or under ``least`` of the n-grams known to any language."""
+    """``docs`` without those of no language: no letter, or surely under ``least`` of the n-grams known to any language.
+
+    The share of a short text is an estimate from few n-grams: two standard
+    errors (at most 1 / sqrt of their number) are given to it.
+    """
     filters = train(docs.where(fold(key_col) != 2))
     rows = predict(docs, filters, pred_col="_pred_", score_col="_known_")
-    return rows.where((F.col("_pred_") != "und") & (F.col("_known_") >= least)).drop("_pred_", "_known_")
+    likely = F.col("_known_") + 1 / F.sqrt(F.greatest(F.length("text"), F.lit(1)))
+    return rows.where((F.col("_pred_") != "und") & (likely >= least)).drop("_pred_", "_known_")
 
 
 @query("op10_language_id")
