@@ -39,7 +39,10 @@ def words(text: Column) -> Column:
 
 
 def _windows(w: Column, build) -> Column:
-    """``build`` on the words of each window; the whole sequence when it is shorter than a window."""
+    """``build`` on the words of each window; the whole sequence when it is shorter than a window.
+
+    ``w`` has to be a plain column: an expression would be evaluated again for every window.
+    """
     n = F.size(w)
     return F.when(n >= WIDTH, F.transform(F.sequence(F.lit(0), n - WIDTH), lambda i: build(*[w[i + k] for k in range(WIDTH)]))
                   ).when(n == 4, F.array(build(*[w[k] for k in range(4)]))
@@ -78,11 +81,12 @@ def search(docs: DataFrame, bench: DataFrame, num: int = 80, den: int = 100, tex
     sketch = stage(sketches(items, num, den), "bench-sketches")
     if sketch.count() <= sketch_rows:
         sketch = F.broadcast(sketch)
+    # the outer form: for the inner one Spark would add a filter that takes words and hashes once more
     streamed = read.select("doc_id", words(F.col("text")).alias("w")).select(
-        "doc_id", F.explode(hashes(F.col("w"))).alias("hash"))
+        "doc_id", F.explode_outer(hashes(F.col("w"))).alias("hash"))
     pairs = stage(streamed.join(sketch, "hash").select("doc_id", "item_id").distinct(), "bench-pairs")
     texts = read.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
-    texts = texts.select("doc_id", shingles(words(F.col("text"))).alias("in_doc"))
+    texts = texts.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", shingles(F.col("w")).alias("in_doc"))
     sets = items.select("item_id", shingles(F.col("w")).alias("in_item"))
     met = pairs.join(sets, "item_id").join(texts, "doc_id").select(
         "doc_id", "item_id", F.size("in_item").cast("bigint").alias("n_item"),
