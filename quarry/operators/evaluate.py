@@ -6,13 +6,12 @@ Inputs are score tables: ``(id, nll, n_tokens)`` with nll in micro-nats (from
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.instructions import ANSWER_CUE
+from quarry.session import path_exists
 
 MICRO = 1_000_000.0
 
@@ -34,13 +33,26 @@ def perplexity(scores: DataFrame, nll_col: str = "nll", n_col: str = "n_tokens")
     return agg.select("n_tokens", "nll_sum", loss.alias("loss"), F.exp(loss).alias("perplexity"))
 
 
+def perplexity_of_losses(losses: DataFrame, loss_col: str = "loss", n_col: str = "n_tokens") -> DataFrame:
+    """The same row from a score table of mean losses: (id, loss, n_tokens) with loss per token in nats."""
+    return perplexity(losses.select((F.col(loss_col) * F.col(n_col) * F.lit(MICRO)).alias("nll"),
+                                    F.col(n_col).alias("n_tokens")))
+
+
+def perplexity_json(ppl: DataFrame) -> DataFrame:
+    """One column ``value``: the perplexity row as a JSON document."""
+    return ppl.select(F.to_json(F.struct("perplexity", "loss", "n_tokens")).alias("value"))
+
+
 def mcqa_prompt(question: Column, choice: Column) -> Column:
     """The whole prompt is scored: question, answer cue, choice."""
     return F.concat(question, F.lit(ANSWER_CUE), choice)
 
 
 def expand_choices(items: DataFrame) -> DataFrame:
-    """(question, choices, answer_index) rows -> one row per (item, choice_index, prompt)."""
+    """(question, choices, answer_index) rows -> one row per (item, choice_index, prompt). An item without choices fails the job."""
+    none = F.raise_error(F.concat(F.lit("no choices in item "), F.col("item_id").cast("string")))
+    items = items.where(F.when(F.coalesce(F.size("choices"), F.lit(0)) < 1, none).isNull())
     return items.select("item_id", "question", "answer_index",
                         F.posexplode("choices").alias("choice_index", "choice")).withColumn(
         "prompt", mcqa_prompt(F.col("question"), F.col("choice")))
@@ -54,8 +66,9 @@ def predict(scores: DataFrame, item_col: str = "item_id", idx_col: str = "choice
 
 
 def accuracy(pred: DataFrame, gold: DataFrame, item_col: str = "item_id") -> DataFrame:
-    """One row: correct, total, accuracy (0.0 when there are no items). An out-of-range gold is just wrong."""
-    j = pred.join(gold, on=item_col, how="inner")
+    """One row: correct, total, accuracy (0.0 when there are no items). Every gold item counts: one without a
+    prediction, or with a gold that no choice has, is wrong."""
+    j = gold.join(pred, on=item_col, how="left")
     agg = j.agg(F.count_if(F.col("pred") == F.col("gold")).alias("correct"), F.count(F.lit(1)).alias("total"))
     return agg.withColumn("accuracy", F.when(F.col("total") > 0, F.col("correct") / F.col("total")).otherwise(F.lit(0.0)))
 
@@ -96,7 +109,7 @@ def run_suite(spark: SparkSession, suite: list[str], benchmarks: dict[str, dict]
             warnings.warn(f"unknown benchmark kind {kind}, skipping")
             continue
         path = cfg.get("path")
-        if kind == "multiple_choice" and path is not None and not os.path.exists(path):
+        if kind == "multiple_choice" and path is not None and not path_exists(spark, path):
             df = skipped_report(spark, name)
         else:
             df = runners[kind](name, cfg)

@@ -1,21 +1,13 @@
-"""Size-checked broadcast join.
+"""Joins with a side that is usually small.
 
-A side is broadcast only after counting it (one cheap action on a small or
-staged table) and finding it under ``max_rows``; otherwise the plain join is
-left to Catalyst/AQE (sort-merge with skew splitting).
+The choice between a broadcast and a shuffle is left to Catalyst and AQE, which
+know the bytes of staged tables and of finished shuffle stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small), on=on, how=how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     return big.join(small, on=on, how=how)

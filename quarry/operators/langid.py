@@ -29,7 +29,7 @@ MICRO = 1_000_000
 def grams(c: Column, n: int = NGRAM) -> Column:
     """Overlapping character n-grams of the lower-cased text (newlines read as spaces)."""
     s = F.lower(F.regexp_replace(c, "\n", " "))
-    return F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+    return F.regexp_extract_all(s, F.lit(f"(?s)(?=([^\\x{{D800}}-\\x{{DFFF}}].{{{n - 1}}}))"), 1)
 
 
 def train(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> tuple[DataFrame, DataFrame]:

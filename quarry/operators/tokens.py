@@ -84,7 +84,7 @@ def attention_mask(ids: Column, length: Column) -> Column:
 def pack(df: DataFrame, opts: PackOptions = PackOptions(), key_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(bucket, chunk, tokens, n_tokens) chunks of ``seq_len`` tokens (EOS after each document).
 
-    The last, partial chunk of each bucket is dropped unless ``keep_partial``.
+    The last chunk of each bucket is shorter; ``keep_partial=False`` drops it.
     """
     L = opts.seq_len
     seq = F.col(ids_col)

@@ -31,7 +31,6 @@ class NearDupOptions:
     bands: int = 16
     rows_per_band: int = 4
     seed: int = 42
-    max_rounds: int = 30
 
 
 @dataclass(frozen=True)
@@ -42,4 +41,4 @@ class PackOptions:
     seed: int = 42
     vocab_size: int = 32_000
     add_bos: bool = False
-    keep_partial: bool = False
+    keep_partial: bool = True

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import dedup, filters
 from quarry.plans.options import PrepareOptions
-from quarry.session import stage  # noqa: F401
+from quarry.session import path_exists, stage
 
 STATS_COLUMNS = ["seen", "kept", "dropped_empty", "dropped_short", "dropped_long", "dropped_lang", "dropped_dup"]
 
@@ -100,21 +100,19 @@ def zero_stats(spark) -> DataFrame:
 
 
 def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions(), lang_model=None,
-        fmt: str = "json", glob: str = "*.jsonl", dry_run: bool = False) -> DataFrame:
+        fmt: str = "json", glob: str = "*.{json,jsonl}", dry_run: bool = False) -> DataFrame:
     """Prepare a raw JSONL corpus directory into train/val shards; returns the stats row.
 
     ``source`` is scanned recursively (malformed lines are skipped and not seen);
     kept rows {text, source} are written to ``output/split=<train|val>/shard=<n>/``.
-    A dry run or a missing source returns zero counters without reading anything.
+    A dry run or a source that does not exist on its file system returns zero counters without reading anything.
     """
-    import os
-
     from pyspark.sql import types as T
 
     from quarry.operators import sampling
     from quarry.sources import jsonl, sinks
 
-    if dry_run or (source.startswith("/") and not os.path.exists(source)):
+    if dry_run or not path_exists(spark, source):
         return zero_stats(spark)
     schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
     recs = jsonl.scan_jsonl_lenient(spark, source, schema, glob)

@@ -14,14 +14,15 @@ TARGET = "en"
 MIN_SCORE = 0.9
 
 
-def grams_sql(x: str) -> str:
-    s = f"lower(replace({x}, chr(10), ' '))"
-    return f"list_transform(range(1, length({s}) - 1), lambda i: substr({s}, i, 3))"
+def grams_sql(src: str, key: str, text: str) -> str:
+    """SELECT key, gram: overlapping trigrams of the lower-cased text, its characters split once."""
+    return (f"SELECT {key}, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram "
+            f"FROM (SELECT {key}, string_split(lower(replace({text}, chr(10), ' ')), '') AS c FROM {src})")
 
 
 _TRAIN_CTE = f"""train AS (SELECT lang, {S.normalize('text')} AS t FROM documents WHERE lang IS NOT NULL),
-g AS (SELECT lang, unnest({grams_sql('t')}) AS gram FROM train),
-cnt AS (SELECT lang, gram, count(*) AS c FROM g GROUP BY ALL),
+g AS ({grams_sql('train', 'lang', 't')}),
+cnt AS MATERIALIZED (SELECT lang, gram, count(*) AS c FROM g GROUP BY ALL),
 tot AS (SELECT lang, sum(c) AS total FROM cnt GROUP BY lang),
 vsz AS (SELECT count(DISTINCT gram) AS v FROM cnt),
 model AS (SELECT cnt.lang, gram, CAST(round(ln((c + 1) / (total + v)) * 1e6) AS BIGINT) AS lp FROM cnt JOIN tot USING (lang), vsz),
@@ -29,15 +30,14 @@ langs AS (SELECT lang, CAST(round(ln(1 / (total + v)) * 1e6) AS BIGINT) AS lp0 F
 
 def _score_body(src: str, text_col: str) -> str:
     """CTE chain after the training CTEs: scores rows of ``src`` into ``post(doc_id, label, score)``."""
-    return f"""dg AS (SELECT doc_id, gram, count(*) AS k FROM (SELECT doc_id, unnest({grams_sql(text_col)}) AS gram FROM {src})
-         GROUP BY ALL),
+    return f"""dg AS MATERIALIZED (SELECT doc_id, gram, count(*) AS k FROM ({grams_sql(src, 'doc_id', text_col)}) GROUP BY ALL),
 known AS (SELECT * FROM dg WHERE gram IN (SELECT gram FROM cnt)),
-sc AS (SELECT known.doc_id, langs.lang, sum(k * coalesce(model.lp, langs.lp0)) AS s
+sc AS MATERIALIZED (SELECT known.doc_id, langs.lang, sum(k * coalesce(model.lp, langs.lp0)) AS s
        FROM known CROSS JOIN langs LEFT JOIN model ON model.lang = langs.lang AND model.gram = known.gram
        GROUP BY ALL),
-post AS (SELECT doc_id, arg_max(lang, (s, lang)) AS label,
-         1.0 / sum(exp((s - (SELECT max(s2.s) FROM sc s2 WHERE s2.doc_id = sc.doc_id)) / 1e6)) AS score
-         FROM sc GROUP BY doc_id)"""
+top AS (SELECT doc_id, max(s) AS top FROM sc GROUP BY doc_id),
+post AS (SELECT doc_id, arg_max(lang, (s, lang)) AS label, 1.0 / sum(exp((s - top) / 1e6)) AS score
+         FROM sc JOIN top USING (doc_id) GROUP BY doc_id)"""
 
 
 _SCORE_CTE = f"""{S.kept()}, {_TRAIN_CTE},

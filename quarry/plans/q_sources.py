@@ -12,6 +12,7 @@ from quarry.plans.registry import docs_with_edges, query, table
 from quarry.session import staging_dir
 from quarry.sources import ingest as IG
 from quarry.sources import jsonl as J
+from quarry.sources import sinks
 
 GLOB = "*.txt"  # Spark's text writer names its files part-*.txt
 
@@ -176,7 +177,7 @@ def _prepare_run(spark, sf_dir):
     from quarry.plans.options import PrepareOptions
 
     docs = table(spark, sf_dir, "documents")
-    lines = docs.select(F.to_json(F.struct("text", "source")).alias("value")).repartition(4)
+    lines = docs.select(F.to_json(F.struct("text", "source")).alias("value"))
     raw = _stage_lines(lines, "raw-corpus")
     out = staging_dir(spark, "prepared")
     stats = P.run(spark, raw, out, PrepareOptions(shard_size=100), glob=GLOB)
@@ -201,5 +202,5 @@ def q_prepare_run(spark, sf_dir):
 def q_prepare_run_output(spark, sf_dir):
     """Rows per split read back from the written train/val shards."""
     _, out = _prepare_run(spark, sf_dir)
-    back = spark.read.json(out)
+    back = sinks.read_shards(spark, out)
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source").alias("n_sources"))

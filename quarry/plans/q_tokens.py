@@ -85,8 +85,7 @@ p AS (SELECT bucket, chunk, off, seq, greatest(chunk * {PACK.seq_len}, off) AS s
       least((chunk + 1) * {PACK.seq_len}, off + n) AS en FROM c),
 q AS (SELECT bucket, chunk, st, list_slice(seq, st - off + 1, en - off) AS piece FROM p),
 g AS (SELECT bucket, chunk, flatten(list(piece ORDER BY st)) AS toks FROM q GROUP BY bucket, chunk)
-SELECT bucket, chunk, len(toks) AS n_tokens, sha1(array_to_string(toks, ',')) AS tokens_sha1 FROM g
-WHERE len(toks) = {PACK.seq_len}"""
+SELECT bucket, chunk, len(toks) AS n_tokens, sha1(array_to_string(toks, ',')) AS tokens_sha1 FROM g"""
 
 
 @query("pack_sequences", _PACK_SQL)

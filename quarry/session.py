@@ -43,22 +43,52 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a local one only when unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        current = jdir.get() if jdir.isDefined() else None
+    """The session's checkpoint folder. Only a local session without one gets a temporary folder;
+    on a cluster a machine-local folder would not be seen by other machines, so that raises."""
+    jsc = spark.sparkContext._jsc.sc()
+    held = jsc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not held.isDefined():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its own file system."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+_STAGED: list[str] = []
+
+
 def staging_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/quarry-staging/{name}-{uuid.uuid4().hex[:12]}"
+    _STAGED.append(f"{root}/quarry-staging/{name}-{uuid.uuid4().hex[:12]}")
+    return _STAGED[-1]
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete every staged table of this driver. Frames that still read one become unusable."""
+    while _STAGED:
+        fs, p = _file_system(spark, _STAGED.pop())
+        fs.delete(p, True)
 
 
 def stage(df, name: str):
@@ -71,20 +101,3 @@ def stage(df, name: str):
     path = staging_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def rebalance(df, key: str | None = None, min_partitions: int | None = None):
-    """Spread a scan over the cluster when it yields fewer splits than cores.
-
-    A Parquet file with a single row group is read by one task whatever its
-    size; CPU-heavy text stages then run serially. When the scan already has
-    enough splits (the normal case for large inputs) this is a no-op and adds
-    no shuffle.
-    """
-    spark = df.sparkSession
-    # total executor cores: the number of tasks that can run at once
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions() if hasattr(df, "rdd") else want
-    if have >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)

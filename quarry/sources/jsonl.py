@@ -1,9 +1,11 @@
 """JSONL scans.
 
-Lines are read with the text source and parsed with ``from_json`` (never
-``spark.read.json``, which explodes a top-level array line into rows). A line is
-*malformed* when ``from_json`` fills the corrupt-record column (non-JSON, array or
-scalar lines) or when its bytes are not valid UTF-8. Blank lines are skipped.
+Lines are read with the text source. Each is wrapped in brackets and parsed as an
+array of records whose scalar fields are all strings: a line is *malformed* when
+that does not give exactly one object (no JSON, arrays, scalars, single quotes,
+text after the object, two objects) or when its bytes are not valid UTF-8. Field
+values are cast afterwards, so a value of another type is null instead of making
+the line malformed. Blank lines are skipped. Lines have no length limit.
 
 Order key: ``struct(path components, file_block_start, monotonically_increasing_id())``
 reproduces "files sorted by path, then line order" without a global sort: path
@@ -14,6 +16,7 @@ increases with the line number. Note: Spark skips files whose name starts with
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import WS_RUN
+from quarry.session import is_directory
 
-CORRUPT = "_corrupt_record"
+GLOB = "*.{json,jsonl}"
+PARSER = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "maxStringLen": "2147483647"}
 
 TEXT_RECORD = T.StructType([
     T.StructField("text", T.StringType()),
@@ -47,35 +52,52 @@ MCQA_RECORD = T.StructType([
 ])
 
 
-def read_lines(spark: SparkSession, paths: str | Iterable[str], glob: str = "*.jsonl",
+def read_lines(spark: SparkSession, paths: str | Iterable[str], glob: str = GLOB,
                recursive: bool = True) -> DataFrame:
-    """Raw lines with file path and order key: (value, file_path, order_key)."""
+    """Raw lines with file path and order key: (value, file_path, order_key).
+
+    ``glob`` selects files within folders; a file that is named is read whatever its name.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    folders = [p for p in paths if is_directory(spark, p)]
+    files = [p for p in paths if p not in folders]
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    lines = reader.text(paths)
+    found = ([reader.text(folders)] if folders else []) + ([spark.read.text(files)] if files else [])
     order_key = F.struct(
         F.split(F.col("_metadata.file_path"), "/").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    return lines.select("value", F.col("_metadata.file_path").alias("file_path"), order_key.alias("order_key"))
+    found = [x.select("value", F.col("_metadata.file_path").alias("file_path"), order_key.alias("order_key")) for x in found]
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+def _field(name: str, kind: T.DataType) -> Column:
+    """A parsed field as its type; null where the value has another one."""
+    raw = F.col(f"_j.`{name}`")
+    if isinstance(kind, (T.StringType, T.ArrayType)):
+        return raw.alias(name)
+    if isinstance(kind, (T.IntegerType, T.LongType)):  # 12.0 is the number 12
+        return F.coalesce(raw.try_cast(kind), raw.try_cast("double").try_cast(kind)).alias(name)
+    return raw.try_cast(kind).alias(name)
 
 
 def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse non-blank lines: schema fields + ``_keys`` (top-level keys) + ``_malformed``."""
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    record = T.StructType([T.StructField(f.name, f.dataType if isinstance(f.dataType, T.ArrayType) else T.StringType())
+                           for f in schema.fields])
     nonblank = lines.where(F.regexp_replace(F.col("value"), F.lit(WS_RUN), F.lit("")) != "")
-    parsed = nonblank.withColumn(
-        "_j", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    )
-    malformed = F.col(f"_j.{CORRUPT}").isNotNull() | ~F.is_valid_utf8(F.col("value"))
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = nonblank.withColumn("_a", F.from_json(wrapped, T.ArrayType(record), PARSER))
+    parsed = parsed.withColumn("_j", F.get("_a", F.lit(0)))
+    one = F.coalesce(F.size("_a") == 1, F.lit(False)) & F.col("_j").isNotNull() & F.is_valid_utf8(F.col("value"))
     return parsed.select(
         *[c for c in lines.columns if c != "value"],
-        *[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields],
+        *[_field(f.name, f.dataType) for f in schema.fields],
         F.json_object_keys("value").alias("_keys"),
-        malformed.alias("_malformed"),
+        (~one).alias("_malformed"),
     )
 
 
@@ -90,18 +112,18 @@ def default_if_missing(name: str, default: str) -> Column:
     return F.when(has_key(name), F.col(name)).otherwise(F.lit(default)).alias(name)
 
 
-def scan_jsonl_lenient(spark: SparkSession, paths, schema: T.StructType, glob: str = "*.jsonl") -> DataFrame:
+def scan_jsonl_lenient(spark: SparkSession, paths, schema: T.StructType, glob: str = GLOB) -> DataFrame:
     """Every well-formed JSON object line under ``paths``; blank and malformed lines are dropped."""
     return parse(read_lines(spark, paths, glob), schema).where(~F.col("_malformed"))
 
 
-def count_malformed(spark: SparkSession, paths, schema: T.StructType, glob: str = "*.jsonl") -> DataFrame:
+def count_malformed(spark: SparkSession, paths, schema: T.StructType, glob: str = GLOB) -> DataFrame:
     """One row: n_lines (non-blank), n_malformed."""
     p = parse(read_lines(spark, paths, glob), schema)
     return p.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("_malformed")).alias("n_malformed"))
 
 
-def scan_jsonl_strict(spark: SparkSession, paths, schema: T.StructType, glob: str = "*.jsonl") -> DataFrame:
+def scan_jsonl_strict(spark: SparkSession, paths, schema: T.StructType, glob: str = GLOB) -> DataFrame:
     """As the lenient scan, but the first malformed line fails the job with 'path: bad line'."""
     p = parse(read_lines(spark, paths, glob), schema)
     check = F.when(
@@ -111,7 +133,7 @@ def scan_jsonl_strict(spark: SparkSession, paths, schema: T.StructType, glob: st
     return p.where(check.isNull())
 
 
-def load_text(spark: SparkSession, paths, glob: str = "*.jsonl", strict: bool = True) -> DataFrame:
+def load_text(spark: SparkSession, paths, glob: str = GLOB, strict: bool = True) -> DataFrame:
     """Typed text records: rows without a 'text' key are dropped; source defaults to 'unknown'."""
     scan = scan_jsonl_strict if strict else scan_jsonl_lenient
     rows = scan(spark, paths, TEXT_RECORD, glob).where(has_key("text"))
@@ -120,7 +142,7 @@ def load_text(spark: SparkSession, paths, glob: str = "*.jsonl", strict: bool =
     )
 
 
-def load_instructions(spark: SparkSession, paths, glob: str = "*.jsonl", strict: bool = True,
+def load_instructions(spark: SparkSession, paths, glob: str = GLOB, strict: bool = True,
                       default_source: str = "cke") -> DataFrame:
     """Instruction records: need both 'prompt' and 'response' keys; source defaults to the exam slice name."""
     scan = scan_jsonl_strict if strict else scan_jsonl_lenient
@@ -128,7 +150,7 @@ def load_instructions(spark: SparkSession, paths, glob: str = "*.jsonl", strict:
     return rows.select("order_key", "prompt", "response", "year", "level", default_if_missing("source", default_source))
 
 
-def eval_text_scan(spark: SparkSession, paths, text_field: str = "text", glob: str = "*.jsonl") -> DataFrame:
+def eval_text_scan(spark: SparkSession, paths, text_field: str = "text", glob: str = GLOB) -> DataFrame:
     """Held-out text for scoring: keep truthy text (not stripped: whitespace-only is kept)."""
     schema = T.StructType([T.StructField(text_field, T.StringType()), T.StructField("doc_id", T.StringType())])
     rows = scan_jsonl_strict(spark, paths, schema, glob)
@@ -136,6 +158,15 @@ def eval_text_scan(spark: SparkSession, paths, text_field: str = "text", glob: s
         "order_key", F.col(text_field).alias("text"), "doc_id")
 
 
+def load_mcqa(spark: SparkSession, paths, glob: str = GLOB) -> DataFrame:
+    """Multiple-choice items (order_key, question, choices, answer_index); an item without all three fails the job."""
+    rows = scan_jsonl_strict(spark, paths, MCQA_RECORD, glob)
+    whole = F.col("question").isNotNull() & (F.size("choices") > 0) & F.col("answer_index").isNotNull()
+    bad = F.raise_error(F.concat(F.lit("incomplete multiple-choice item in "), F.col("file_path")))
+    return rows.where(F.when(~F.coalesce(whole, F.lit(False)), bad).isNull()).select(
+        "order_key", "question", "choices", "answer_index")
+
+
 def write_lines(lines: DataFrame, path: str, partition_cols: list[str] | None = None) -> str:
     """Write a single string column ``value`` as text files (one JSON line per row)."""
     w = lines.write.mode("overwrite")

@@ -18,14 +18,13 @@ committed). Use ``trigger(availableNow=True)`` for scheduled runs.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.plans import prepare as P
 from quarry.plans.options import PrepareOptions
+from quarry.session import path_exists
 from quarry.sources import jsonl
 
 RAW_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
@@ -41,13 +40,8 @@ def _process_batch(batch: DataFrame, batch_id: int, output: str, opts: PrepareOp
     cls = P.classify(rows, opts, key_col="order_key", lang_model=lang_model)  # staged once per batch
 
     hashes_dir = f"{output}/hashes"
-    earlier = None
-    if os.path.exists(hashes_dir) or not hashes_dir.startswith("/"):
-        try:
-            earlier = spark.read.parquet(hashes_dir).where(F.col("batch_id") < batch_id).select("doc_hash")
-        except Exception:  # no earlier batch has written yet
-            earlier = None
-    if earlier is not None:
+    if path_exists(spark, hashes_dir):  # else no earlier batch has written yet; any other failure fails the batch
+        earlier = spark.read.parquet(hashes_dir).where(F.col("batch_id") < batch_id).select("doc_hash")
         seen = earlier.withColumn("_seen", F.lit(True))
         cls = cls.join(seen, on="doc_hash", how="left").withColumn(
             "reason", F.when((F.col("reason") == "kept") & F.col("_seen"), F.lit("dup")).otherwise(F.col("reason"))

@@ -1,5 +1,6 @@
 """Perplexity, multiple choice, reports, language ID, bigram LM."""
 
+import json
 import math
 
 import pytest
@@ -27,10 +28,27 @@ def test_predict_ties_lowest_index_and_accuracy(spark):
     gold = spark.createDataFrame([(1, 1), (2, 7)], "item_id long, gold int")  # out-of-range gold -> wrong
     a = EV.accuracy(EV.predict(scores), gold).collect()[0]
     assert (a.correct, a.total, a.accuracy) == (1, 2, 0.5)
-    empty = EV.accuracy(EV.predict(scores.where("item_id < 0")), gold).collect()[0]
+    unscored = EV.accuracy(EV.predict(scores.where("item_id < 0")), gold).first()
+    assert (unscored.correct, unscored.total, unscored.accuracy) == (0, 2, 0.0)  # every gold item counts
+    empty = EV.accuracy(EV.predict(scores), gold.limit(0)).first()
     assert (empty.total, empty.accuracy) == (0, 0.0)
 
 
+def test_perplexity_of_mean_losses(spark):
+    losses = spark.createDataFrame([(1, 0.5, 10), (2, 2.0, 30), (3, 9.0, 0)], "id long, loss double, n_tokens long")
+    row = EV.perplexity_of_losses(losses).first()
+    assert row.n_tokens == 40 and math.isclose(row.loss, 65 / 40, rel_tol=1e-9) and math.isclose(row.perplexity, math.exp(65 / 40), rel_tol=1e-9)
+    doc = json.loads(EV.perplexity_json(EV.perplexity_of_losses(losses)).first().value)
+    assert doc["n_tokens"] == 40 and set(doc) == {"perplexity", "loss", "n_tokens"}
+    assert EV.perplexity_of_losses(losses.limit(0)).first().perplexity == 1.0
+
+
+def test_items_without_choices_fail(spark):
+    items = spark.createDataFrame([(1, "q", [], 0)], "item_id long, question string, choices array<string>, answer_index int")
+    with pytest.raises(Exception, match="no choices in item 1"):
+        EV.expand_choices(items).collect()
+
+
 def test_expand_choices_prompt(spark):
     items = spark.createDataFrame([(1, "Ile?", ["2", "4"], 1)], "item_id long, question string, choices array<string>, answer_index int")
     rows = EV.expand_choices(items).orderBy("choice_index").collect()

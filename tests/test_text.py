@@ -1,4 +1,4 @@
-"""Normalization, filters, fingerprints, mojibake (ports of the reference unit tests + edge cases)."""
+"""Normalization, filters, fingerprints, mojibake."""
 
 from pyspark.sql import functions as F
 
@@ -6,12 +6,10 @@ from quarry.functions import text as TX
 from quarry.operators import filters
 
 
-def test_normalize_strips_control_and_collapses_whitespace(one_col):
-    assert one_col(TX.normalize_text, ["Ala\x00  ma\nkota\r\n"]) == ["Ala ma kota"]
-
-
-def test_normalize_nfc(one_col):
-    assert one_col(TX.normalize_text, ["a\u0301"]) == ["\u00e1"]
+def test_normalize_in_its_order(one_col):
+    """Composition, then control characters go, then blanks fold: a control character between blanks leaves one."""
+    got = one_col(TX.normalize_text, ["p \x02\t q\x7f", "\vre\x00d\f", "n\u0303o\u0308", "o\x1e\u0301"])
+    assert got == ["p q", "red", "\u00f1\u00f6", "o\u0301"]
 
 
 def test_normalize_edge_rows(one_col):
@@ -32,10 +30,18 @@ def test_nfc_matches_python_on_mixed_text(one_col):
     assert one_col(TX.nfc, vals) == [unicodedata.normalize("NFC", v) for v in vals]
 
 
-def test_is_valid_length(spark):
-    df = spark.createDataFrame([("short",), ("x" * 50,), ("x" * 200,)], "t string")
-    got = [r[0] for r in df.select(filters.length_ok(F.col("t"), 10, 100)).collect()]
-    assert got == [False, True, False]
+def test_length_bounds_are_inclusive(spark):
+    sizes = [6, 7, 8, 19, 20, 21]
+    df = spark.createDataFrame([("\u017c" * n,) for n in sizes], "t string")
+    got = [r[0] for r in df.select(filters.length_ok(F.col("t"), 7, 20)).collect()]
+    assert got == [7 <= n <= 20 for n in sizes]
+
+
+def test_ngrams_on_astral_text(one_col):
+    from quarry.operators import langid, near_dedup
+    text = "\U0001F600ab\U0001F601cde"
+    assert one_col(lambda c: langid.grams(c), [text]) == [[text[i:i + 3] for i in range(len(text) - 2)]]
+    assert one_col(lambda c: near_dedup.shingles(c, 5), [text]) == [[text[i:i + 5] for i in range(len(text) - 4)]]
 
 
 def test_length_counts_code_points(one_col):
