@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame, src: str = "id_a", dst: str = "id_b")
     stars = stage(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     mark = _mark(stars)
     while mark[0]:
-        stars = stage(_small_star(_large_star(stars).distinct()).distinct(), "stars")
+        stars = stage(_small_star(_large_star(stars)).distinct(), "stars")
         before, mark = mark, _mark(stars)
         if mark == before:
             break
