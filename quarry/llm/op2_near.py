@@ -30,6 +30,7 @@ doc_id. Empty tables give no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -166,11 +167,11 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return connected_components(edges.union(labels.select("node", "label").where("node <> label")))
 
 
-def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose two documents are in different components so far."""
-    own = labels.where("node <> label")
-    rows = pairs.join(own.select(F.col("node").alias("id_a"), F.col("label").alias("_a")), "id_a", "left").join(
-        own.select(F.col("node").alias("id_b"), F.col("label").alias("_b")), "id_b", "left")
+def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs that no link to the same first document joins already; ``edges`` has one row for each id_b."""
+    to_a = edges.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("_a"))
+    to_b = edges.select("id_b", F.col("id_a").alias("_b"))
+    rows = pairs.join(to_a, "id_a", "left").join(to_b, "id_b", "left")
     return rows.where(F.coalesce("_a", "id_a") != F.coalesce("_b", "id_b")).select("id_a", "id_b")
 
 
@@ -186,13 +187,11 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
     sigs = reps.select(F.col("doc_id").alias("id"), "sig")
     labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
 
-    def meet(pairs: DataFrame) -> None:
-        """Verify the staged pairs and merge the components of those linked."""
-        nonlocal labels
-        if not pairs.isEmpty():
-            edges = _verified(pairs, docs, num, den)
-            if not edges.isEmpty():
-                labels = _merged(labels, edges)
+    def verified(pairs: DataFrame) -> DataFrame | None:
+        """Those of the pairs that are links; None without any."""
+        pairs = stage(pairs, "path-pairs")
+        edges = None if pairs.isEmpty() else _verified(pairs, docs, num, den)
+        return None if edges is None or edges.isEmpty() else edges
 
     level = 0
     while True:
@@ -205,9 +204,13 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         # each document with the first one of its nodes: the smallest of them at once, others where still apart
         star = stage(held.where(_near_first(num, den)).select(F.col("p.id").alias("id_a"), F.col("id").alias("id_b")).distinct(),
                      "path-stars")
-        nearest = stage(star.groupBy("id_b").agg(F.min("id_a").alias("id_a")).select("id_a", "id_b"), "path-pairs")
-        meet(nearest)
-        meet(stage(_open(star.join(nearest, ["id_a", "id_b"], "left_anti"), labels), "path-pairs"))
+        nearest = star.groupBy("id_b").agg(F.min("id_a").alias("id_a")).select("id_a", "id_b")
+        edges = verified(nearest)
+        others = star.join(nearest, ["id_a", "id_b"], "left_anti")
+        more = verified(others if edges is None else _apart(others, edges))
+        found = [e for e in (edges, more) if e is not None]
+        if found:
+            labels = _merged(labels, functools.reduce(DataFrame.union, found))
         # the first document of a node has met all others; what is left to compare are its other components
         seen = stage(_labelled(held.drop("p"), labels), "path-rows")
         parts = seen.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("node").agg(
@@ -221,7 +224,8 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
                        & _near("a", "b", num, den)).select(
             F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
-        meet(stage(pairs, "path-pairs"))
+        edges = verified(pairs)
+        labels = labels if edges is None else _merged(labels, edges)
         many = left.where((F.col("size") > small) & (F.col("size") - F.col("main.m") > small))
         if many.isEmpty():
             return labels
