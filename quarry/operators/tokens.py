@@ -13,11 +13,14 @@ bucket's token arrays; every chunk group holds at most ``seq_len`` tokens.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import WS_CHARS
-from quarry.operators import joins, sampling
+from quarry.operators import sampling
 from quarry.plans.options import PackOptions
 from quarry.session import stage
 
@@ -49,18 +52,26 @@ def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: s
              out: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, *carry, ids): ``ids`` is array<int> in document token order, unknown tokens -> 1.
 
-    Tokens are exploded with their position, looked up in the vocabulary
-    (broadcast after a size check) and regrouped per document; all rows of a
-    document sit in one partition, so the partial aggregate already assembles
-    the array before the shuffle. Documents without tokens get an empty array.
+    The JVM splits the text; the ids come from an Arrow lookup of the batch's
+    flattened tokens in the vocabulary (broadcast: ``vocab_size`` rows bound it),
+    so no token is shuffled. Documents without tokens get an empty array.
     """
-    toks = df.select(key_col, *carry, F.posexplode_outer(token_strings(F.col(text_col))).alias("pos", "token"))
-    looked = joins.join_small(toks, vocab.select("token", "id"), on="token", how="left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
-    grouped = looked.groupBy(key_col).agg(
-        *[F.first(c).alias(c) for c in carry],
-        F.array_sort(F.collect_list(item)).alias("_p"))
-    return grouped.select(key_col, *carry, F.transform("_p", lambda z: z["id"]).alias(out))
+    held = vocab.select("token", "id").toArrow()
+    shared = df.sparkSession.sparkContext.broadcast((held.column("token").combine_chunks(), held.column("id").to_numpy()))
+    rows = df.select(key_col, *carry, token_strings(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
+    schema = df.select(key_col, *carry, F.array().cast("array<int>").alias(out)).schema
+
+    def look_up(batches):
+        tokens, ids = shared.value
+        for batch in batches:
+            lists = batch.column("_t")
+            at = pc.index_in(lists.flatten(), value_set=tokens)
+            found = np.where(at.is_valid().to_numpy(zero_copy_only=False), ids[at.fill_null(0).to_numpy()] if len(ids) else UNK, UNK)
+            offsets = lists.offsets.to_numpy()
+            made = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(found, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (key_col, *carry)), made], names=[key_col, *carry, out])
+
+    return rows.mapInArrow(look_up, schema)
 
 
 def ids_sha1(c: Column) -> Column:
