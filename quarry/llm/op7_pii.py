@@ -41,7 +41,7 @@ EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 PHONE = r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}"
 ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 DAY = r"(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
-IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 FOUND = rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{PHONE}|{ISO}|{DAY}|{IP}|{SSN}|{CARD})(?![A-Za-z0-9])"

@@ -34,7 +34,7 @@ def test_line_rules(spark):
     prose = "This line is plain prose with a good number of words in it and an end."
     menu, stock = "Home | News | Sports | Weather | About", "Please accept cookies to go on"
     shout = "BUY!! NOW!! CHEAP!! ONLY!! TODAY!!"
-    texts = [prose + "\n" + menu, menu + "\n" + stock + "\n" + shout + " a b c d e", prose, prose + "\n" + stock + "\n" + prose + " More."]
+    texts = [prose + "\n" + menu, menu + "\n" + stock + "\n" + shout + " a b c d e", prose, prose + "\n" + stock + "\nAnother line follows it, no less plain than the first."]
     got = judged(spark, texts)
     assert [got[i].kept for i in range(4)] == [True, False, True, True]
     assert got[0].text_clean == prose and got[3].lines_removed == 1 and got[1].lines_removed == 3
