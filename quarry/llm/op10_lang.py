@@ -69,6 +69,7 @@ def gram_hashes(text: str | None) -> np.ndarray:
         letter = _letters(codes)
         keep = letter.copy()
         keep[1:] |= letter[:-1]  # a run of other characters leaves one blank, at its first place
+        keep[0] |= tail[-1] != 32
         codes = np.where(letter, codes, 32).astype(np.uint64)[keep]
         if len(codes) and tail[-1] == 32 and codes[0] == 32:
             codes = codes[1:]
