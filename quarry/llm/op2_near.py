@@ -45,7 +45,7 @@ from quarry.session import stage
 
 COORDS = 64
 BRANCH = 2
-SMALL = 64
+SMALL = 256
 BITS_APART = 20
 ID_ROWS = 2_000_000
 WIDTH = 5
