@@ -250,7 +250,7 @@ def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0
                                                    F.count(F.lit(1)).alias("_m")).where("_m > 1")
     members = stage(signed.select("doc_id", "n", "fp1", "fp2", "row").join(
         classes.drop("_m"), ["n", "fp1", "fp2"], "left").select(
-        "doc_id", "n", "row", F.coalesce("first.doc_id", "doc_id").alias("rep"),
+        "doc_id", "n", "row", F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id")).alias("rep"),
         F.coalesce("first.row", "row").alias("rep_row")), "path-members")
     others = members.where("row <> rep_row").select("row")
     reps = whole.join(others, "row", "left_anti").select("doc_id", "n", "bits", "sig")
