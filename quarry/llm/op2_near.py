@@ -14,8 +14,12 @@ form components, of which the smallest doc_id stays.
    Links merge components, and a node whose members are all of one component is
    done: no pair in it can change the result. In what is left, a node of at most
    ``SMALL`` documents, or with at most ``SMALL`` outside its main component, is
-   compared exhaustively between components; others branch on, by twice as many
-   tokens at each level, until no node is left.
+   compared exhaustively between components. The documents of the others meet
+   once more, by an exact prefix-filter join: shingles are ordered by rarity
+   (counted over these documents in ``BUCKETS`` hash buckets), and documents at
+   the threshold share one of the first ``n - ceil(t n) + 1``. Each such shingle
+   is a node, compared in the same way, and with a positional filter, whatever
+   its size; so the recall of the roots is that of the whole.
 4. Candidates must pass the size filter (exact) and a filter on 64 one-bit
    minwise tokens (``BITS_APART``; a pair at the threshold fails it with a
    probability below 1e-7). What is left is verified on the full sets, taken
@@ -46,6 +50,7 @@ from quarry.session import stage
 COORDS = 64
 BRANCH = 2
 SMALL = 256
+BUCKETS = 1 << 18
 BITS_APART = 20
 ID_ROWS = 2_000_000
 WIDTH = 5
@@ -122,10 +127,11 @@ def _linked_batches(num: int, den: int):
 
 
 def _near(a: str, b: str, num: int, den: int):
-    """What a linked pair must pass: sizes near enough, one-bit tokens mostly equal."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    """What a linked pair must pass: enough tokens left to share (of whole sets, a size filter), one-bit tokens mostly equal."""
+    n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
     apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (apart <= BITS_APART)
+    most = F.least(i, j) + F.least(n - i, m - j)
+    return (most * (num + den) >= (n + m) * num) & (apart <= BITS_APART)
 
 
 def _with_sets(docs: DataFrame, ids: DataFrame, own: str, name: str) -> DataFrame:
@@ -145,15 +151,48 @@ def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFram
         _linked_batches(num, den), "id_a bigint, id_b bigint").distinct(), "path-links")
 
 
-def _children(open_rows: DataFrame, sigs: DataFrame, level: int) -> DataFrame:
-    """Rows of large nodes, each in BRANCH child nodes chosen by 2**level of its minwise tokens."""
-    rows = open_rows.join(sigs, "id")
-    children = []
-    for branch in range(BRANCH):
-        tokens = [F.element_at("sig", (F.pmod(F.xxhash64("node", F.lit(branch), F.lit(j)), F.lit(COORDS)) + 1).cast("int"))
-                  for j in range(min(2 ** level, COORDS))]
-        children.append(F.xxhash64("node", F.lit(branch), *tokens))
-    return rows.select(F.explode(F.array(*children)).alias("node"), "id", "n", "bits").distinct()
+def _bucket_batches(batches):
+    """(bucket, m): shingles of a partition by hash bucket."""
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for _, _, data, offsets in textops.slices(batch, "text"):
+            flat = np.concatenate(textops.shingle_sets(data, offsets, WIDTH))
+            counts += np.bincount((flat & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    full = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(counts[full])], names=["bucket", "m"])
+
+
+def _prefix_batches(shared, num: int, den: int):
+    def prefixes(batches):
+        common = shared.value
+        for batch in batches:
+            for lo, hi, data, offsets in textops.slices(batch, "text"):
+                n = batch.column("n").slice(lo, hi - lo).to_numpy()
+                rows, tokens, places = [], [], []
+                for row, s in enumerate(textops.shingle_sets(data, offsets, WIDTH)):
+                    if len(s) and len(s) == n[row]:  # another text of a repeated id may have another size
+                        first = np.lexsort((s, common[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))
+                        first = first[:len(s) + num * len(s) // -den + 1]
+                        rows.append(np.full(len(first), row)), tokens.append(s[first]), places.append(np.arange(len(first)))
+                if rows:
+                    at = pa.array(np.concatenate(rows) + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(tokens).view(np.int64)), *(batch.column(c).take(at) for c in ("id", "n", "bits")),
+                         pa.array(np.concatenate(places).astype(np.int64))], names=["node", "id", "n", "bits", "pos"])
+    return prefixes
+
+
+def _prefixes(ids: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, id, n, bits, pos): the rarest shingles of the documents ``ids`` (id, n, bits), enough to share one with any linked one."""
+    ids = stage(ids, "path-large")
+    if ids.count() <= ID_ROWS:
+        ids = F.broadcast(ids)
+    texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id").select("id", "n", "bits", "text")
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for r in texts.mapInArrow(_bucket_batches, "bucket int, m bigint").groupBy("bucket").agg(F.sum("m").alias("m")).collect():
+        counts[r.bucket] = r.m  # at most BUCKETS rows
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    return texts.mapInArrow(_prefix_batches(shared, num, den), "node bigint, id bigint, n bigint, bits bigint, pos bigint")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -183,8 +222,7 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
     roots = min(trees_for(recall, num, den) * BRANCH, COORDS)
     rows = reps.select(
         F.posexplode(F.slice("sig", 1, roots)).alias("_c", "_token"), F.col("doc_id").alias("id"), "n", "bits"
-    ).select(F.xxhash64("_c", "_token").alias("node"), "id", "n", "bits", F.col("id").alias("label"))
-    sigs = reps.select(F.col("doc_id").alias("id"), "sig")
+    ).select(F.xxhash64("_c", "_token").alias("node"), "id", "n", "bits", F.lit(0).cast("bigint").alias("pos"), F.col("id").alias("label"))
     labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
 
     def verified(pairs: DataFrame) -> DataFrame | None:
@@ -193,16 +231,15 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         edges = None if pairs.isEmpty() else _verified(pairs, docs, num, den)
         return None if edges is None or edges.isEmpty() else edges
 
-    level = 0
-    while True:
+    for exact in (False, True):
         nodes = rows.groupBy("node").agg(
-            F.min(F.struct("id", "n", "bits")).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
+            F.min(F.struct("id", "n", "bits", "pos")).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
         ).where("_lo <> _hi").select("node", "p")
         held = stage(rows.drop("label").join(nodes, "node").where(F.col("id") != F.col("p.id")), "path-nodes")
         if held.isEmpty():
             return labels
         # each document with the first one of its nodes: the smallest of them at once, others where still apart
-        star = stage(held.where(_near_first(num, den)).select(F.col("p.id").alias("id_a"), F.col("id").alias("id_b")).distinct(),
+        star = stage(held.alias("h").where(_near("h", "p", num, den)).select(F.col("p.id").alias("id_a"), F.col("id").alias("id_b")).distinct(),
                      "path-stars")
         nearest = star.groupBy("id_b").agg(F.min("id_a").alias("id_a")).select("id_a", "id_b")
         edges = verified(nearest)
@@ -218,7 +255,8 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         left = stage(seen.join(parts.where("parts > 1").drop("parts"), "node"), "path-rows")
         if left.isEmpty():
             return labels
-        few = left.where((F.col("size") <= small) | (F.col("size") - F.col("main.m") <= small))
+        solved = F.lit(exact) | (F.col("size") <= small) | (F.col("size") - F.col("main.m") <= small)
+        few = left.where(solved)
         others = few.where(F.col("label") != F.col("main.label"))
         a, b = others.alias("a"), few.alias("b")
         pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
@@ -226,16 +264,11 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
             F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
         edges = verified(pairs)
         labels = labels if edges is None else _merged(labels, edges)
-        many = left.where((F.col("size") > small) & (F.col("size") - F.col("main.m") > small))
-        if many.isEmpty():
+        many = left.where(~solved)
+        if exact or many.isEmpty():
             return labels
-        level += 1
-        rows = stage(_labelled(_children(many.select("node", "id", "n", "bits"), sigs, level), labels), "path-children")
-
-
-def _near_first(num: int, den: int):
-    lo, hi = F.least("n", "p.n"), F.greatest("n", "p.n")
-    return (lo * den >= hi * num) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) <= BITS_APART)
+        large = _prefixes(many.select("id", "n", "bits").distinct(), docs, num, den)
+        rows = stage(_labelled(large.withColumn("label", F.col("id")), labels), "path-prefixes")
 
 
 def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0.999999, small: int = SMALL,

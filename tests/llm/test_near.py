@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from quarry.llm import op2_near
 from tests.llm import edge
 
@@ -82,3 +84,16 @@ def test_keep_first_keeps_columns(spark):
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
     assert 6 in ids and 7 not in ids and 8 not in ids and 9 not in ids and ids.count(None) == 2
+
+
+@pytest.mark.parametrize("num, changed", [(80, 22), (85, 16)])
+def test_links_inside_a_large_unlinked_group(spark, num, changed):
+    """A group that shares 166 of 200 shingles stays together for levels; pairs just over the threshold are linked in it."""
+    rng, shared, texts = random.Random(3), [f"p{i}" for i in range(170)], []
+    for k in range(100):
+        own = [f"o{k}_{i}" for i in range(34)]
+        texts += [" ".join(shared + own), " ".join(shared + own[:-changed] + [f"x{k}_{i}" for i in range(changed)])]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert sum(d != c for d, (_, c) in brute(rows, num, 100).items()) == 100  # the pairs, and no other link
+    check(spark, rows, num=num, small=2)
