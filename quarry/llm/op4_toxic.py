@@ -21,7 +21,9 @@ landmarks)``. A document's margin is that of its most toxic sentence; Platt's
 sigmoid makes it a score from 0 to 1.
 
 Training takes at most ``SAMPLE`` rows of either label, those with the smallest
-hashed ids: a bounded sample of labelled rows. Scoring reads every whole text.
+hashed ids: a bounded sample of labelled rows. Each stands for labelled ids of
+its label / sampled ones in the machine's costs and in Platt's sigmoid, so a
+score means the same whether or not the bound is met. Scoring reads every whole text.
 Only the model is broadcast; its size is bounded by ``LANDMARKS`` and their
 length.
 
@@ -205,14 +207,14 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDG
     return w
 
 
-def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic fit with Platt's smoothed targets."""
-    pos, neg = (y > 0).sum(), (y < 0).sum()
+def _platt(margin: np.ndarray, y: np.ndarray, stands: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic fit with Platt's smoothed targets; a row counts ``stands`` times."""
+    pos, neg = stands[y > 0].sum(), stands[y < 0].sum()
     goal = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x, ab = np.stack([margin, np.ones(len(y))], axis=1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ ab, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (p - goal))
+        step = np.linalg.solve((x * (stands * (p * (1 - p) + 1e-9))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (stands * (p - goal)))
         ab = ab - np.clip(step, -2, 2)
         if abs(step).max() < 1e-8:
             break
@@ -270,6 +272,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: i
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
+    labels = stage(labels, "toxic-labels")
     chosen = [labels.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
     chosen = stage(chosen[0].union(chosen[1]), "toxic-ids")
     rows = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # at most 2 * sample ids
@@ -277,6 +280,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: i
     sizes = dict(rows.groupBy("toxic").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         return None
+    taken = dict(chosen.groupBy("toxic").count().collect())
+    stands = {t: n / taken[t] for t, n in labels.groupBy("toxic").count().collect() if t in taken}
     share = spark.sparkContext.broadcast
     pos, neg = F.sum("toxic"), F.sum(1 - F.col("toxic"))
     odds = F.log((pos + 0.5) / (sizes[1] + 1)) - F.log((neg + 0.5) / (sizes[0] + 1)) - 2 * F.sqrt(
@@ -290,7 +295,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: i
         return None
     witnesses = spark.createDataFrame([(r.token,) for r in named], "token string")
     clean_tokens = tokens.where("clean > 0").join(F.broadcast(witnesses), "token", "left_anti").select("token", "clean")
-    weight = np.array([float(r["count"]) for r in named])
+    weight = stands[1] * np.array([float(r["count"]) for r in named])
     against: dict[str, int] = {}
     marks = Landmarks([r.token for r in named[:landmarks]])
     model = Model(marks, np.ones(len(marks.tokens)), 0.0)  # the first round looks for what is like any landmark
@@ -306,10 +311,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: i
         nystroem = (vectors[:, kept] / np.sqrt(values[kept])) @ vectors[:, kept].T
         x = marks.kernel([r.token for r in named] + list(against)) @ nystroem
         y = np.array([1.0] * len(named) + [-1.0] * len(against))
-        w = _machine(x, y, np.concatenate([weight, np.array(list(against.values()), dtype=float)]))
+        w = _machine(x, y, np.concatenate([weight, stands[0] * np.array(list(against.values()), dtype=float)]))
         model = Model(marks, nystroem @ w[:-1], float(w[-1]))
     found = rows.mapInArrow(_margin_batches(share(model)), "toxic int, margin double").collect()  # at most 2 * sample rows
-    platt = _platt(np.array([r.margin for r in found]), np.array([1.0 if r.toxic else -1.0 for r in found]))
+    platt = _platt(np.array([r.margin for r in found]), np.array([1.0 if r.toxic else -1.0 for r in found]),
+                   np.array([stands[r.toxic] for r in found]))
     return Model(model.landmarks, model.v, model.bias, platt)
 
 

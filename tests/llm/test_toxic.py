@@ -75,3 +75,18 @@ def test_edge_rows(spark, model):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert T.train(edge.docs(spark), none) is None
     assert {r.score for r in T.score(edge.docs(spark), None).select("score").collect()} == {0.0}
+
+
+def test_a_sample_keeps_the_scores_of_the_whole(spark):
+    """A word of 30 toxic and 120 clean documents has the same chance of a toxic one when only 50 rows of each are taken."""
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        word = "grumbler" if (i // 6 % 10 < 3 if toxic else i % 25 < 6) else "blockhead" if toxic else "gentle"
+        rows.append((i, f"aaonx n{i:03d} {word} ccatx."))
+        labels.append((i, int(toxic)))
+    docs, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    whole, sampled = (T.train(docs, known, sample=n) for n in (3000, 50))
+    for text in ("aaonx grumbler ccatx.", "aaonx gentle ccatx.", "aaonx blockhead ccatx."):
+        assert (whole.score(text) >= T.CUT) == (sampled.score(text) >= T.CUT), text
+        assert abs(whole.score(text) - sampled.score(text)) < 0.1, (text, whole.score(text), sampled.score(text))
