@@ -19,7 +19,10 @@ date  a day of the years 1600 to 2399           order, separators, padding
 email the usual shape                           (keyed hash, not invertible)
 ===== ========================================= ==============================
 
-What is found but not valid stays. Dates: year first with ``-``; month first
+What is found but not valid stays; a phone does not go on into another value, and
+in a run of digits the valid cards are looked for at its groups. A country code
+other than 1 does not say how many digits follow: a number of two to four digits
+after a blank counts as the phone's. Dates: year first with ``-``; month first
 with ``/`` where that is a day, else day first; day first with ``.``. Null texts
 stay null, with no findings; rows are treated one by one, so repeated rows get
 the same text and an empty table gives no rows. Texts are taken whole; nothing
@@ -38,13 +41,21 @@ STEPS = 8
 KINDS = ("card", "ssn", "ip", "phone", "date", "email")
 #: What each kind looks like, in the order in which they are tried.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-PHONE = r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}"
 ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 DAY = r"(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-FOUND = rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{PHONE}|{ISO}|{DAY}|{IP}|{SSN}|{CARD})(?![A-Za-z0-9])"
+#: The groupings of printed cards, the longest first.
+CARDS = (r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}", r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}", r"[0-9]{13,19}")
+#: A blank and a value of its own: phones and runs of digits do not go on into it.
+NEXT = rf" (?:{IP}|{ISO}|{DAY}|{SSN}|{CARDS[1]}|{CARDS[2]})(?![A-Za-z0-9])"
+_DIGIT = r"[0-9][ .()-]{0,3}"
+PHONE = (r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![A-Za-z0-9])"  # country code 1 has ten more digits
+         rf"|\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{2,4}}\)?(?:(?!{NEXT})[ .-]?\(?[0-9]{{2,4}}\)?){{1,4}}(?<={_DIGIT * 8})(?<!{_DIGIT * 16})")
+#: Thirteen digits or more, in which the cards are looked for.
+RUN = rf"[0-9](?:[0-9]|(?! (?:{IP}|{ISO}|{DAY}|{SSN}|[0-9]{{1,2}}/[0-9])(?![A-Za-z]))[ -][0-9]){{12,75}}"
+BEFORE = r"(?<![A-Za-z0-9_%+-])(?<![^A-Za-z]\.)(?<!^\.)"  # a point may end an abbreviation
+FOUND = rf"(?:(?<![A-Za-z0-9._%+-]){EMAIL}|{BEFORE}(?:{PHONE}|{ISO}|{DAY}|{IP}|{SSN}|{RUN}))(?![A-Za-z0-9])"
 FIRST_DAY, DAYS_A, DAYS_B = "1600-01-01", 378, 773  # 378 * 773 = the 292194 days of 800 years
 
 
@@ -142,6 +153,33 @@ def kind_of(x: Column) -> Column:
             .when(F.length(d).between(13, 19) & (luhn(d) % 10 == 0), F.lit("card")))
 
 
+def _is_card(x: Column) -> Column:
+    d = _digits(x)
+    return F.length(d).between(13, 19) & (luhn(d) % 10 == 0)
+
+
+def cards_in(run: Column) -> Column:
+    """The valid cards in a run of digits, whole groups of it: printed groupings first, then the whole, then the longest."""
+    def parts(pattern: str) -> Column:
+        return F.regexp_extract_all(run, F.lit(rf"(?<![0-9])(?=({pattern})(?![0-9]))"), 1)
+
+    loose = [parts(rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}") for n in range(19, 12, -1)]
+    tried = F.filter(F.concat(*map(parts, CARDS), F.array(run), *loose), _is_card)
+    taken = F.aggregate(tried, F.struct(run.alias("rest"), F.array().cast("array<string>").alias("found")), lambda a, c: F.when(
+        a["rest"].contains(c), F.struct(F.replace(a["rest"], c, F.lit("|")).alias("rest"), F.array_append(a["found"], c).alias("found"))
+    ).otherwise(a))["found"]
+    return F.when(run.rlike("[ -]"), taken).otherwise(F.filter(F.array(run), _is_card))
+
+
+def values_in(x: Column) -> Column:
+    """Array of (kind, before): the valid values in what FOUND matches."""
+    kind = kind_of(x)
+    whole = F.when(kind.isNotNull(), F.array(F.struct(kind.alias("kind"), x.alias("before")))).otherwise(
+        F.array().cast("array<struct<kind:string,before:string>>"))
+    return F.when(x.rlike(_full(RUN)) & ~x.rlike(_full(f"{ISO}|{DAY}|{IP}|{SSN}")), F.transform(
+        cards_in(x), lambda c: F.struct(F.lit("card").alias("kind"), c.alias("before")))).otherwise(whole)
+
+
 def _card(x: Column, key: str) -> Column:
     d = _digits(x)
     body = F.concat(F.substring(d, 1, 1), permute_digits("card", F.substring(d, F.lit(2), F.length(d) - 2), key))
@@ -214,12 +252,13 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", out_col: str = "text",
     text = F.col(text_col)
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(FOUND), 0)).otherwise(F.array().cast("array<string>"))
     rows = docs.withColumn("_hits", hits).withColumn(
-        "_hits", F.transform("_hits", lambda x: F.struct(kind_of(x).alias("kind"), x.alias("before"))))
-    rows = rows.withColumn("_hits", F.transform("_hits", lambda h: F.struct(
-        h["kind"], h["before"], pseudonym(h["before"], h["kind"], key).alias("after"))))
-    pieces = F.zip_with(F.split(text, FOUND), "_hits", lambda a, h: F.concat(a, F.coalesce(h["after"], F.lit(""))))
+        "_hits", F.transform("_hits", lambda x: F.struct(x.alias("before"), values_in(x).alias("values"))))
+    rows = rows.withColumn("_hits", F.transform("_hits", lambda h: F.struct(h["before"], F.transform(h["values"], lambda v: F.struct(
+        v["kind"], v["before"], pseudonym(v["before"], v["kind"], key).alias("after"))).alias("values"))))
+    pieces = F.zip_with(F.split(text, FOUND), "_hits", lambda a, h: F.concat(a, F.coalesce(F.aggregate(
+        h["values"], h["before"], lambda t, v: F.replace(t, v["before"], v["after"])), F.lit(""))))
     rows = rows.withColumn("_new", F.when(F.size("_hits") > 0, F.array_join(pieces, "")).otherwise(text))
-    return rows.withColumns({out_col: F.col("_new"), "pii": F.filter("_hits", lambda h: h["kind"].isNotNull())}).drop(
+    return rows.withColumns({out_col: F.col("_new"), "pii": F.flatten(F.transform("_hits", lambda h: h["values"]))}).drop(
         "_hits", "_new")
 
 

@@ -72,3 +72,29 @@ def test_small_domain_is_a_permutation(spark):
 def test_edge_rows(spark):
     assert edge.count(P.pseudonymize(edge.docs(spark))) == len(edge.rows())
     assert P.pseudonymize(edge.empty(spark)).collect() == []
+
+
+def test_values_next_to_numbers_are_found(spark):
+    """(kind, value) of texts where a value runs into another number."""
+    card, other = "4111 1111 1111 1111", "5500 0000 0000 0004"
+    want = {
+        "+1 (826) 555-4081 190.137.223.20": [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.20")],
+        "+49 30 901820 190.137.223.20": [("phone", "+49 30 901820"), ("ip", "190.137.223.20")],
+        "+49 30 901820 2024-02-29": [("phone", "+49 30 901820"), ("date", "2024-02-29")],
+        f"+49 30 901820 {card}": [("phone", "+49 30 901820"), ("card", card)],
+        "+1 (843) 555-7672 42": [("phone", "+1 (843) 555-7672")],
+        f"{card} 03/26": [("card", card)],
+        f"{card} 123": [("card", card)],
+        f"12 {card}": [("card", card)],
+        f"12 34 {card} 77": [("card", card)],
+        f"{card} {other}": [("card", card), ("card", other)],
+        f"{card} 2024-02-29": [("card", card), ("date", "2024-02-29")],
+        f"{card} 10.0.0.1": [("card", card), ("ip", "10.0.0.1")],
+        "3782 822463 10005 99": [("card", "3782 822463 10005")],
+        "no.4111111111111111": [("card", "4111111111111111")],
+    }
+    for (text, hits), before in zip(run(spark, list(want)), want):
+        assert [(k, a) for k, a, _ in hits] == want[before], before
+        for _, a, b in hits:
+            before = before.replace(a, b)
+        assert text == before
