@@ -62,7 +62,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, text_col: str = "text", key_co
     first = sharded.groupBy("shard").agg(F.min("_at").alias("_first"))  # ``shards`` rows
     return sharded.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("_at") - F.col("_first")).cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        (F.col("_at") - F.col("_first")).cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query("op6_sharding")

@@ -35,3 +35,7 @@ def test_balance_with_a_hot_text(spark):
     for r in got:
         load[r.shard] = load.get(r.shard, 0) + r.size
     assert len(load) == 40 and max(load.values()) - min(load.values()) <= 2 * max(r.size for r in got)
+
+
+def test_slot_is_a_long(spark):
+    assert dict(S.assign(edge.docs(spark)).dtypes)["slot"] == "bigint"
