@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import stage
+
 TWO_32 = 4294967296.0
 
 
@@ -82,6 +84,31 @@ def assign_shards(df: DataFrame, key: str, shard_size: int, seed: int = 42, spli
     return ranked.withColumn(out, (F.col("_rank") / F.lit(shard_size)).cast("bigint")).withColumnRenamed("_rank", "rank")
 
 
+def order_rank(df: DataFrame, order_cols: list, partition_cols: list[str] | None = None, out: str = "rank") -> DataFrame:
+    """(order_cols, partition_cols, rank): the 0-based place of each row in the order of ``order_cols`` within ``partition_cols``.
+
+    For orders that are no uniform hash (path and line, length and key). Only the named columns move: they are sorted in
+    range partitions, each partition's counts give its offsets (one row for each partition and partition value), and rows are
+    numbered inside. ``order_cols`` is unique and without nulls; no task holds more than a range of the order.
+    """
+    parts = list(partition_cols or [])
+    narrow = df.select(*order_cols, *[c for c in parts if c not in order_cols])
+    ranged = stage(narrow.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols).select(
+        "*", F.spark_partition_id().alias("__or_p"), F.monotonically_increasing_id().alias("__or_s")), "order-ranges")
+    counts = ranged.groupBy(*parts, "__or_p").agg(F.count(F.lit(1)).alias("__or_n"))
+    before = Window.partitionBy(*parts).orderBy("__or_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__or_o", F.coalesce(F.sum("__or_n").over(before), F.lit(0))).drop("__or_n")
+    inside = Window.partitionBy(*parts, "__or_p").orderBy("__or_s")
+    ranked = ranged.withColumn("__or_i", F.row_number().over(inside) - 1).join(offsets, [*parts, "__or_p"])
+    return ranked.withColumn(out, F.col("__or_o") + F.col("__or_i")).drop("__or_p", "__or_s", "__or_o", "__or_i")
+
+
+def assign_shards_in_order(df: DataFrame, order_cols: list[str], shard_size: int, split_col: str = "split", out: str = "shard") -> DataFrame:
+    """``df`` with ``rank`` and ``shard``: fixed-size shards per split in input order, every one but the last full."""
+    ranked = order_rank(df, order_cols, [split_col]).drop(split_col)
+    return df.join(ranked, order_cols).withColumn(out, F.floor(F.col("rank") / F.lit(shard_size)).cast("bigint"))
+
+
 def sample_fixed(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """The n rows with the smallest seeded hash (top-k; n is the feature's sample size)."""
     return df.withColumn("_h", seeded_hash(seed, F.col(key))).orderBy("_h", key).limit(n).drop("_h")

@@ -122,3 +122,68 @@ def pack(df: DataFrame, opts: PackOptions = PackOptions(), key_col: str = "doc_i
     if not opts.keep_partial:
         packed = packed.where(F.col("n_tokens") == L)
     return packed
+
+
+def pack_masked(df: DataFrame, opts: PackOptions = PackOptions(), key_col: str = "id", ids_col: str = "ids",
+                mask_col: str = "mask") -> DataFrame:
+    """(bucket, chunk, tokens, loss_mask, segment_ids, positions, n_tokens): packed chunks with parallel arrays.
+
+    Rows are packed as by ``pack``, and the mask (1: scored) is cut at the same
+    offsets; the EOS of a row is scored. ``segment_ids`` numbers a chunk's
+    documents from 1, ``positions`` counts from 0 in each of them, so a document
+    that a chunk border cuts starts anew: its parts do not see each other.
+    Corpus and instruction rows mix freely, a corpus row has a mask of ones. A
+    null mask scores everything; a mask of another length than the ids fails.
+    """
+    size, ids = opts.seq_len, F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
+    mask = F.coalesce(F.col(mask_col), F.array_repeat(F.lit(1), F.size(ids)))
+    mask = F.when(F.size(mask) == F.size(ids), mask).otherwise(F.raise_error(F.lit("loss mask and ids differ in length")).cast("array<int>"))
+    start = [F.array(F.lit(BOS))] if opts.add_bos else []
+    seq = F.concat(*start, ids, F.array(F.lit(EOS)))
+    scored = F.concat(*[F.array(F.lit(0)) for _ in start], mask, F.array(F.lit(1)))
+    rows = stage(df.select(key_col, F.arrays_zip(seq.alias("t"), scored.alias("m")).alias("_seq"),
+                           sampling.seeded_hash(opts.seed, F.col(key_col)).alias("_h")).select(
+        "*", (F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") % F.lit(opts.buckets)).cast("int").alias("bucket"),
+        F.size("_seq").cast("bigint").alias("_n")), "pack-rows")
+    offsets = sampling.global_rank(rows.select(key_col, "bucket", "_h", "_n"), "_h", key_col, ["bucket"], digits=3, out="_off", value_col="_n")
+    off, n = F.col("_off"), F.col("_n")
+    placed = rows.join(offsets.select(key_col, "_off"), key_col).withColumn(
+        "chunk", F.explode(F.sequence((off / size).cast("bigint"), ((off + n - 1) / size).cast("bigint"))))
+    begin, end = F.greatest(F.col("chunk") * size, off), F.least((F.col("chunk") + 1) * size, off + n)
+    pieces = placed.select("bucket", "chunk", F.struct(
+        begin.alias("at"), F.slice("_seq", (begin - off + 1).cast("int"), (end - begin).cast("int")).alias("p")).alias("z"))
+    whole = pieces.groupBy("bucket", "chunk").agg(F.array_sort(F.collect_list("z")).alias("zs"))
+    packed = whole.select(
+        "bucket", "chunk",
+        F.flatten(F.transform("zs", lambda z: z.p.getField("t"))).alias("tokens"),
+        F.flatten(F.transform("zs", lambda z: z.p.getField("m"))).alias("loss_mask"),
+        F.flatten(F.transform("zs", lambda z, i: F.array_repeat(i + 1, F.size(z.p)))).alias("segment_ids"),
+        F.flatten(F.transform("zs", lambda z: F.sequence(F.lit(0), F.size(z.p) - 1))).alias("positions"))
+    packed = packed.withColumn("n_tokens", F.size("tokens"))
+    return packed if opts.keep_partial else packed.where(F.col("n_tokens") == size)
+
+
+IGNORED = -100  # fixed value: the label that a loss leaves out
+
+
+def collate(df: DataFrame, batch_size: int, key_col: str = "doc_id", ids_col: str = "ids", pad_id: int | None = None,
+            mask_col: str | None = None) -> DataFrame:
+    """(key, batch, row, padded_length, input_ids, attention_mask, labels): batches of rows of similar length.
+
+    Rows are ranked by (length, key), so a batch pads little; it is padded on the
+    right to its longest row, with ``pad_id`` or, unset, EOS. Labels are the ids,
+    ``IGNORED`` on padding and where ``mask_col`` (1: scored) is 0. Only (key,
+    length) rows are ranked; the ids are joined once by key. Keys are unique;
+    null ids are an empty row, a null mask scores everything.
+    """
+    ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
+    held = df.select(key_col, ids.alias("_ids"), *([F.coalesce(mask_col, F.array_repeat(F.lit(1), F.size(ids))).alias("_mask")] if mask_col else []))
+    ranked = stage(sampling.order_rank(held.select(F.size("_ids").alias("_n"), key_col), ["_n", key_col]), "batch-ranks").select(
+        key_col, "_n", F.floor(F.col("rank") / batch_size).cast("bigint").alias("batch"), (F.col("rank") % batch_size).cast("int").alias("row"))
+    longest = ranked.groupBy("batch").agg(F.max("_n").alias("padded_length"))
+    rows = held.join(ranked.join(longest, "batch"), key_col)
+    attention = attention_mask(F.col("_ids"), F.col("padded_length"))
+    padded = pad_to(F.col("_ids"), F.col("padded_length"), EOS if pad_id is None else pad_id)
+    scored = F.zip_with("_ids", "_mask", lambda t, m: F.when(m == 1, t).otherwise(F.lit(IGNORED))) if mask_col else F.col("_ids")
+    return rows.select(key_col, "batch", "row", "padded_length", padded.alias("input_ids"), attention.alias("attention_mask"),
+                       pad_to(scored, F.col("padded_length"), IGNORED).alias("labels"))

@@ -5,6 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+@dataclass(frozen=True)
+class NearDupOptions:
+    # 5-gram character shingles, Jaccard 0.8.
+    ngram: int = 5
+    threshold: float = 0.8
+    num_perm: int = 64
+    bands: int = 16
+    rows_per_band: int = 4
+    seed: int = 42
+
+
 @dataclass(frozen=True)
 class PrepareOptions:
     # Defaults of the corpus-preparation stage.
@@ -20,17 +31,12 @@ class PrepareOptions:
     lang_scorer: str | None = None  # None | "columns" | "ngram"
     lang_col: str = "lang"
     lang_score_col: str | None = None
-
-
-@dataclass(frozen=True)
-class NearDupOptions:
-    # 5-gram character shingles, Jaccard 0.8.
-    ngram: int = 5
-    threshold: float = 0.8
-    num_perm: int = 64
-    bands: int = 16
-    rows_per_band: int = 4
-    seed: int = 42
+    # Planned steps, off unless asked for.
+    fix_mojibake: bool = False  # repair texts before they are normalized
+    near_dup: NearDupOptions | None = None  # after exact dedup: the first document of a near-duplicate cluster stays
+    holdout_sources: tuple[str, ...] = ()  # sources that go to val as a whole
+    shard_order: str = "shuffled"  # or "input": shards in path and line order
+    columns: tuple[str, ...] = ()  # further columns of the files that a gate reads ("lang", "lang_score")
 
 
 @dataclass(frozen=True)

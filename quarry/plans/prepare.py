@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators import dedup, filters
+from quarry.functions.text import fix_mojibake
+from quarry.operators import dedup, filters, near_links, sampling
 from quarry.plans.options import PrepareOptions
 from quarry.session import path_exists, stage
 
@@ -39,6 +40,8 @@ def language_ok(df: DataFrame, opts: PrepareOptions, lang_model: DataFrame | Non
 def classify(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text",
              key_col: str = "doc_id", lang_model: DataFrame | None = None, staged: bool = True) -> DataFrame:
     """Add norm_text, n_chars, doc_hash and the first-fail ``reason`` (kept = passed all)."""
+    if opts.fix_mojibake:
+        df = df.withColumn(text_col, fix_mojibake(F.col(text_col)))
     norm = filters.with_normalized(df, text_col=text_col)
     norm = filters.with_prefilter_reason(norm, opts)  # empty / short / long
     if opts.lang_scorer is not None:
@@ -56,13 +59,13 @@ def classify(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: s
     ).drop("is_dup")
 
 
-def stats(classified: DataFrame) -> DataFrame:
+def stats(classified: DataFrame, reasons: tuple[str, ...] = tuple(filters.REASONS)) -> DataFrame:
     """One row: seen, kept, dropped_* (BIGINT). Invariant: seen = kept + sum(dropped_*)."""
     r = F.col("reason")
     return classified.agg(
         F.count(F.lit(1)).alias("seen"),
         F.count_if(r == "kept").alias("kept"),
-        *[F.count_if(r == x).alias(f"dropped_{x}") for x in filters.REASONS],
+        *[F.count_if(r == x).alias(f"dropped_{x}") for x in reasons],
     )
 
 
@@ -99,28 +102,53 @@ def zero_stats(spark) -> DataFrame:
     return spark.createDataFrame([tuple([0] * len(STATS_COLUMNS))], STATS_COLUMNS)
 
 
+def drop_near_duplicates(classified: DataFrame, opts: PrepareOptions, key_col: str = "doc_id") -> DataFrame:
+    """``classified`` with the reason ``near_dup`` for kept rows that a row before them in the order of ``key_col`` stands for.
+
+    The rows are compared under their rank in that order, a number, whatever the type of the key.
+    """
+    kept = classified.where(F.col("reason") == "kept")
+    ranks = stage(sampling.order_rank(kept, [key_col]), "near-ranks")
+    docs = stage(kept.select(key_col, "norm_text").join(ranks, key_col).select("rank", F.col("norm_text").alias("text")), "near-texts")
+    clusters = near_links.near_dup_clusters(docs, opts.near_dup, "text", "rank")
+    gone = clusters.where("rank <> cluster").select("rank").join(ranks, "rank").select(key_col, F.lit(True).alias("_near"))
+    return stage(classified.join(gone, key_col, "left").withColumn(
+        "reason", F.when(F.col("_near"), F.lit("near_dup")).otherwise(F.col("reason"))).drop("_near"), "near-classified")
+
+
 def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions(), lang_model=None,
         fmt: str = "json", glob: str = "*.{json,jsonl}", dry_run: bool = False) -> DataFrame:
     """Prepare a raw JSONL corpus directory into train/val shards; returns the stats row.
 
     ``source`` is scanned recursively (malformed lines are skipped and not seen);
-    kept rows {text, source} are written to ``output/split=<train|val>/shard=<n>/``.
+    kept rows {text, source} are written to ``output/split=<train|val>/shard=<n>/``, or, with ``fmt="files"``, to
+    ``output/<train|val>/part-0000.jsonl``. With ``opts.near_dup`` the row has ``dropped_near_dup``, too.
     A dry run or a source that does not exist on its file system returns zero counters without reading anything.
     """
     from pyspark.sql import types as T
 
-    from quarry.operators import sampling
-    from quarry.sources import jsonl, sinks
+    from quarry.sources import jsonl, shard_files, sinks
 
     if dry_run or not path_exists(spark, source):
         return zero_stats(spark)
-    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
+    kinds = {f.name: f.dataType for f in jsonl.TEXT_RECORD.fields}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in ("text", "source", *opts.columns)])
     recs = jsonl.scan_jsonl_lenient(spark, source, schema, glob)
-    rows = recs.select("order_key", "text", jsonl.default_if_missing("source", "unknown"))
+    rows = recs.select("order_key", "text", jsonl.default_if_missing("source", "unknown"), *opts.columns)
     cls = classify(rows, opts, key_col="order_key", lang_model=lang_model)
+    if opts.near_dup is not None:
+        cls = drop_near_duplicates(cls, opts, "order_key")
     kept = kept_rows(cls).withColumn("text", F.col("norm_text"))
-    split = sampling.split_train_val(kept, "doc_hash", opts.seed, opts.val_ratio)
-    sharded = sampling.assign_shards(split, "doc_hash", opts.shard_size, opts.seed)
-    sinks.write_shards(sharded, output, fmt=fmt)
-    st = stats(cls)
+    split = sampling.holdout_sources(kept, list(opts.holdout_sources), "doc_hash", opts.seed, opts.val_ratio)
+    if opts.shard_order == "input":
+        sharded = sampling.assign_shards_in_order(split, ["order_key"], opts.shard_size)
+    elif opts.shard_order == "shuffled":
+        sharded = sampling.assign_shards(split, "doc_hash", opts.shard_size, opts.seed)
+    else:
+        raise ValueError(f"unknown shard_order {opts.shard_order!r}")
+    if fmt == "files":
+        shard_files.write_shard_files(sharded, output)
+    else:
+        sinks.write_shards(sharded, output, fmt=fmt)
+    st = stats(cls, (*filters.REASONS, "near_dup") if opts.near_dup is not None else filters.REASONS)
     return spark.createDataFrame(st.collect(), st.schema)  # one row

@@ -10,7 +10,7 @@ from quarry.plans import prepare as P
 from quarry.plans import sql as S
 from quarry.plans.registry import docs_with_edges, query, table
 from quarry.session import staging_dir
-from quarry.sources import sinks
+from quarry.sources import jsonl, shard_files, sinks
 
 SEED = 42
 SHARD_SIZE = 100  # rows per shard in the checked queries (several shards per split)
@@ -85,3 +85,19 @@ def q_mix(spark, sf_dir):
     pairs = INS.conversation_pairs(table(spark, sf_dir, "conversations"))
     inst = pairs.select(F.concat_ws(":", F.lit("inst"), "conv_id", "turn").alias("id"), F.lit("instruction").alias("kind"))
     return SM.mix_instructions(text, inst, MIX_RATIO, SEED).select("id", "kind", "mix_rank")
+
+
+@query("write_shard_files", f"""WITH {S.kept()}, sp AS (SELECT norm_text, doc_hash, {SPLIT} AS split FROM kept),
+rk AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {H}, doc_hash) - 1 AS rank FROM sp)
+SELECT split || '/part-' || lpad(CAST(rank // {SHARD_SIZE} AS VARCHAR), 4, '0') || '.jsonl' AS file, count(*) AS n_rows,
+  sha1(string_agg(sha1(norm_text), ',' ORDER BY rank)) AS rows_sha1 FROM rk GROUP BY 1""")
+def q_write_shard_files(spark, sf_dir):
+    """Exact shard files written, listed and read again line by line."""
+    df = SM.split_train_val(kept(spark, sf_dir).withColumn("text", F.col("norm_text")), "doc_hash", SEED, 0.05)
+    path = shard_files.write_shard_files(SM.assign_shards(df, "doc_hash", SHARD_SIZE, SEED), staging_dir(spark, "shard-files"))
+    names = shard_files.list_shard_files(spark, path)
+    rows = jsonl.scan_jsonl_lenient(spark, [f"{path}/{n}" for n in names], jsonl.TEXT_RECORD)
+    lines = rows.select(F.regexp_extract("file_path", "([^/]*/[^/]*)$", 1).alias("file"), "order_key", F.sha1(F.col("text").cast("binary")).alias("h"))
+    # a file holds SHARD_SIZE lines at most
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.array_sort(F.collect_list(F.struct("order_key", "h"))).alias("s")).select(
+        "file", "n_rows", F.sha1(F.array_join(F.transform("s", lambda x: x.h), ",").cast("binary")).alias("rows_sha1"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as TX
 from quarry.operators import instructions as INS
+from quarry.operators import sampling as SM
 from quarry.plans import sql as S
 from quarry.plans.registry import docs_with_edges, query, table
 from quarry.session import staging_dir
@@ -204,3 +205,43 @@ def q_prepare_run_output(spark, sf_dir):
     _, out = _prepare_run(spark, sf_dir)
     back = sinks.read_shards(spark, out)
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source").alias("n_sources"))
+
+
+@query("shards_input_order", f"""WITH s AS (SELECT doc_id, {S.split_case('doc_id', 42, 0.2)} AS split FROM documents),
+r AS (SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS rank FROM s)
+SELECT doc_id, split, rank, rank // 100 AS shard FROM r""")
+def q_shards_input_order(spark, sf_dir):
+    """Shards of 100 rows in path and line order of JSONL files (which hold the documents by doc_id)."""
+    docs = table(spark, sf_dir, "documents").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    path = J.write_lines(docs.select(F.to_json(F.struct("text", "source", "doc_id")).alias("value")), staging_dir(spark, "jsonl-ordered"))
+    rows = J.scan_jsonl_lenient(spark, path, J.TEXT_RECORD, GLOB).select("order_key", F.col("doc_id").cast("bigint").alias("doc_id"))
+    split = SM.split_train_val(rows, "doc_id", 42, 0.2)
+    return SM.assign_shards_in_order(split, ["order_key"], 100).select("doc_id", "split", "rank", "shard")
+
+
+_LINED = """WITH l AS (SELECT source, doc_id, lang, unnest(CASE lang WHEN 'es' THEN ['doc', 'bad'] WHEN 'de' THEN ['doc', 'blank'] ELSE ['doc'] END) AS kind,
+  unnest(CASE WHEN lang IN ('es', 'de') THEN [1, 2] ELSE [1] END) AS place FROM documents),
+n AS (SELECT source, kind, row_number() OVER (PARTITION BY source ORDER BY doc_id, place) AS line_no FROM l)"""
+
+
+@query("malformed_line_numbers", _LINED + " SELECT source, line_no FROM n WHERE kind = 'bad'")
+def q_malformed_line_numbers(spark, sf_dir):
+    """Line numbers of malformed lines in one JSONL file for each source."""
+    docs = table(spark, sf_dir, "documents").repartition("source").sortWithinPartitions("source", "doc_id")
+    js = F.to_json(F.struct("text", "doc_id"))
+    value = F.array_compact(F.array(js, F.when(F.col("lang") == "es", F.concat(F.lit("{"), js)), F.when(F.col("lang") == "de", F.lit(""))))
+    path = J.write_lines(docs.select(F.col("source").alias("folder"), F.explode(value).alias("value")),
+                         staging_dir(spark, "jsonl-lines"), ["folder"])
+    return J.malformed_lines(spark, path, J.TEXT_RECORD, GLOB).select(
+        F.regexp_extract("file_path", "folder=([^/]*)/", 1).alias("source"), "line_no")
+
+
+@query("ingest_write", "SELECT doc_id, 'corpus/' || source AS source, source AS shard, sha1(text) AS text_sha1 FROM documents "
+       "WHERE source IN ('src1', 'src3', 'src5') AND coalesce(text, '') <> ''")
+def q_ingest_write(spark, sf_dir):
+    """Documents ingested shard by shard, written to a folder for each, rescanned by requested shards."""
+    docs = table(spark, sf_dir, "documents")
+    rows = IG.ingest_shards(docs, "corpus", F.col("source"), F.col("text"), meta_id=F.col("doc_id").cast("string"))
+    path = sinks.write_corpus_rows(rows, staging_dir(spark, "ingested"), partition_col="shard")
+    back = IG.scan_ingested(spark, path, ["src1", "src3", "src5"])
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "shard", TX.text_sha1(F.col("text")).alias("text_sha1"))

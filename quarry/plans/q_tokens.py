@@ -11,6 +11,7 @@ from quarry.plans import sql as S
 from quarry.plans.options import PackOptions
 from quarry.plans.q_sampling import kept
 from quarry.plans.registry import query, table
+from quarry.session import stage
 
 VOCAB = 4096
 MAX_LEN = 512
@@ -115,3 +116,67 @@ def q_loss_mask(spark, sf_dir):
     scored = F.aggregate(mask, F.lit(0), lambda acc, x: acc + x)
     return pairs.select(F.concat_ws(":", "conv_id", "turn").alias("id"), (F.size(mask) - scored).alias("n_masked"),
                         scored.alias("n_scored"))
+
+
+_INSTR_CTE = f"""{_VOCAB_CTE}, {S.pairs()},
+itok AS (SELECT 'inst:' || conv_id || ':' || turn AS id, {tokens_sql('prompt || ' + _CUE_SQL)} AS p, {tokens_sql('response')} AS r FROM pairs),
+ipos AS (SELECT id, unnest(list_concat(p, r)) AS token, unnest(range(1, len(p) + len(r) + 1)) AS pos, len(p) AS np FROM itok),
+rows_ AS (SELECT 'doc:' || doc_id AS id, ids, list_transform(ids, lambda x: 1) AS mask FROM ids
+  UNION ALL SELECT i.id, list(coalesce(v.id, 1) ORDER BY i.pos), list(CASE WHEN i.pos > np THEN 1 ELSE 0 END ORDER BY i.pos)
+  FROM ipos i LEFT JOIN vocab v USING (token) GROUP BY i.id)"""
+
+_PACK_MASKED_SQL = f"""WITH {_INSTR_CTE},
+d AS (SELECT id, list_concat(ids, [3]) AS seq, list_concat(mask, [1]) AS m, {S.seeded_hash(PACK.seed, 'id')} AS h FROM rows_),
+b AS (SELECT *, CAST(CAST(('0x' || substr(h, 1, 8)) AS UBIGINT) % {PACK.buckets} AS INTEGER) AS bucket, CAST(len(seq) AS BIGINT) AS n FROM d),
+o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY bucket ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM b),
+c AS (SELECT bucket, off, n, seq, m, unnest(range(off // {PACK.seq_len}, (off + n - 1) // {PACK.seq_len} + 1)) AS chunk FROM o),
+p AS (SELECT *, greatest(chunk * {PACK.seq_len}, off) AS st, least((chunk + 1) * {PACK.seq_len}, off + n) AS en FROM c),
+q AS (SELECT bucket, chunk, st, en - st AS k, list_slice(seq, st - off + 1, en - off) AS piece, list_slice(m, st - off + 1, en - off) AS mp FROM p),
+g AS (SELECT bucket, chunk, flatten(list(piece ORDER BY st)) AS toks, sum(list_sum(mp)) AS n_scored, count(*) AS n_segments,
+  sum(k * (k - 1) // 2) AS position_sum, max(k) - 1 AS last_position FROM q GROUP BY bucket, chunk)
+SELECT bucket, chunk, len(toks) AS n_tokens, sha1(array_to_string(toks, ',')) AS tokens_sha1, CAST(n_scored AS BIGINT) AS n_scored,
+  n_segments, CAST(position_sum AS BIGINT) AS position_sum, last_position FROM g"""
+
+
+def _instruction_ids(spark, sf_dir, vocab):
+    """(id, ids, mask) of every instruction pair, the prompt and its cue masked."""
+    pairs = INS.conversation_pairs(table(spark, sf_dir, "conversations")).select(
+        F.concat_ws(":", F.lit("inst"), "conv_id", "turn").alias("id"), F.concat("prompt", F.lit(INS.ANSWER_CUE)).alias("prompt"), "response")
+    asked = TK.tokenize(pairs, vocab, "prompt", "id", out="p", carry=("response",))
+    both = TK.tokenize(asked, vocab, "response", "id", out="r", carry=("p",))
+    return both.select("id", F.concat("p", "r").alias("ids"), INS.loss_mask(F.size("p"), F.size("r")).alias("mask"))
+
+
+@query("pack_masked", _PACK_MASKED_SQL)
+def q_pack_masked(spark, sf_dir):
+    """Corpus and instruction rows packed together with loss mask, segment ids and positions."""
+    vocab, ids = _vocab_and_ids(spark, sf_dir)
+    corpus = ids.select(F.concat(F.lit("doc:"), "doc_id").alias("id"), "ids", F.array_repeat(F.lit(1), F.size("ids")).alias("mask"))
+    packed = TK.pack_masked(corpus.unionByName(_instruction_ids(spark, sf_dir, vocab)), PACK)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return packed.select("bucket", "chunk", "n_tokens", TK.ids_sha1(F.col("tokens")).alias("tokens_sha1"), total("loss_mask").alias("n_scored"),
+                         F.array_max("segment_ids").cast("bigint").alias("n_segments"), total("positions").alias("position_sum"),
+                         F.array_max("positions").cast("bigint").alias("last_position"))
+
+
+BATCH = 8
+
+
+@query("collate_batches", f"""WITH {_INSTR_CTE},
+t AS (SELECT id, list_slice(ids, 1, {MAX_LEN}) AS ids, list_slice(mask, 1, {MAX_LEN}) AS mask FROM rows_),
+r AS (SELECT *, row_number() OVER (ORDER BY len(ids), id) - 1 AS rank FROM t),
+b AS (SELECT *, rank // {BATCH} AS batch, CAST(rank % {BATCH} AS INTEGER) AS row, max(len(ids)) OVER (PARTITION BY rank // {BATCH}) AS width FROM r)
+SELECT id, batch, row, CAST(width AS INTEGER) AS padded_length, CAST(len(ids) AS BIGINT) AS n_attended, CAST(coalesce(list_sum(mask), 0) AS BIGINT) AS n_unmasked,
+  sha1(array_to_string(list_concat(ids, list_transform(range(0, width - len(ids)), lambda x: 3)), ',')) AS input_sha1,
+  sha1(array_to_string(list_concat(list_transform(ids, lambda x, i: CASE WHEN mask[i] = 1 THEN x ELSE -100 END),
+    list_transform(range(0, width - len(ids)), lambda x: -100)), ',')) AS labels_sha1 FROM b""")
+def q_collate_batches(spark, sf_dir):
+    """Truncated corpus and instruction rows in length-bucketed batches."""
+    vocab, ids = _vocab_and_ids(spark, sf_dir)
+    corpus = ids.select(F.concat(F.lit("doc:"), "doc_id").alias("id"), "ids", F.array_repeat(F.lit(1), F.size("ids")).alias("mask"))
+    rows = corpus.unionByName(_instruction_ids(spark, sf_dir, vocab))
+    rows = rows.select("id", TK.truncate(F.col("ids"), MAX_LEN).alias("ids"), TK.truncate(F.col("mask"), MAX_LEN).alias("mask"))
+    out = TK.collate(stage(rows, "batch-rows"), BATCH, "id", mask_col="mask")
+    return out.select("id", "batch", "row", "padded_length", F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_attended"),
+                      F.size(F.filter("labels", lambda x: x != TK.IGNORED)).cast("bigint").alias("n_unmasked"),
+                      TK.ids_sha1(F.col("input_ids")).alias("input_sha1"), TK.ids_sha1(F.col("labels")).alias("labels_sha1"))

@@ -94,3 +94,20 @@ def shard_stats(df: DataFrame, text_col: str = "text", source_col: str = "source
     """Documents and characters per shard."""
     return df.groupBy(source_col).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.length(F.col(text_col))).alias("n_chars"))
+
+
+def scan_ingested(spark, path: str, requested: list[str] | None = None) -> DataFrame:
+    """Rows {text, source, doc_id} that ``sinks.write_corpus_rows`` wrote to a folder for each shard.
+
+    Requested shards are selected by folder, so the others' files are not listed for reading (``PartitionFilters``). A name
+    that has no folder raises ``ValueError`` with those that exist.
+    """
+    rows = spark.read.schema("text string, source string, doc_id string, shard string").json(path)
+    if requested is None:
+        return rows
+    present = {r.shard for r in rows.where(F.col("shard").isin(list(requested))).select("shard").distinct().collect()}  # those asked for
+    missing = sorted(set(requested) - present)
+    if missing:
+        names = [r.shard for r in rows.select("shard").distinct().orderBy("shard").limit(1000).collect()]
+        raise ValueError(f"unknown shards {missing}; available: {names}")
+    return rows.where(F.col("shard").isin(list(requested)))

@@ -19,7 +19,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,13 +123,39 @@ def count_malformed(spark: SparkSession, paths, schema: T.StructType, glob: str
     return p.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("_malformed")).alias("n_malformed"))
 
 
+def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """``rows`` (with file_path, order_key) of the scan ``lines`` with ``line_no``, the 1-based number in the file.
+
+    A file is read in splits, and a split knows its first byte but not its first line. So the lines of each split are counted
+    (one narrow row for each split), summed over the splits before, and joined to the rows: a number does not depend on how
+    the file was cut.
+    """
+    block = F.col("order_key.block")
+    counts = lines.groupBy("file_path", block.alias("_block")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("order_key.line").alias("_first"))
+    before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # splits of one file
+    firsts = counts.select("file_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.withColumn("_block", block).join(firsts, ["file_path", "_block"]).withColumn(
+        "line_no", F.col("_before") + F.col("order_key.line") - F.col("_first") + 1).drop("_block", "_before", "_first")
+
+
+def malformed_lines(spark: SparkSession, paths, schema: T.StructType, glob: str = GLOB) -> DataFrame:
+    """(file_path, line_no) of every malformed line."""
+    lines = read_lines(spark, paths, glob)
+    bad = parse(lines, schema).where("_malformed").select("file_path", "order_key")
+    return with_line_numbers(bad, lines.select("file_path", "order_key")).select("file_path", "line_no")
+
+
 def scan_jsonl_strict(spark: SparkSession, paths, schema: T.StructType, glob: str = GLOB) -> DataFrame:
-    """As the lenient scan, but the first malformed line fails the job with 'path: bad line'."""
+    """As the lenient scan, but raises ``malformed JSON line in <path>:<line>`` for the first malformed line.
+
+    The lines are checked first, in a pass of their own; rows read later are checked again (the files may have changed).
+    """
+    first = malformed_lines(spark, paths, schema, glob).agg(F.min(F.struct("file_path", "line_no")).alias("at")).first().at
+    if first:
+        raise ValueError(f"malformed JSON line in {first.file_path}:{first.line_no}")
     p = parse(read_lines(spark, paths, glob), schema)
-    check = F.when(
-        F.col("_malformed"),
-        F.raise_error(F.concat(F.lit("malformed JSON line in "), F.col("file_path"))),
-    )
+    check = F.when(F.col("_malformed"), F.raise_error(F.concat(F.lit("malformed JSON line in "), F.col("file_path"))))
     return p.where(check.isNull())
 
 

@@ -64,3 +64,17 @@ def test_sample_fixed(spark):
     s = SM.sample_fixed(_df(spark), "doc_hash", 50)
     assert s.count() == 50
     assert sorted(r.doc_id for r in s.collect()) == sorted(r.doc_id for r in SM.sample_fixed(_df(spark).repartition(3), "doc_hash", 50).collect())
+
+
+def test_order_rank_matches_sort(spark):
+    import random
+    rng = random.Random(1)
+    rows = [(rng.randrange(5), i, "ab"[rng.random() < 0.1]) for i in range(300)]
+    df = spark.createDataFrame(rows, "n int, id int, part string").repartition(6)
+    got = {(r.n, r.id): r["rank"] for r in SM.order_rank(df, ["n", "id"], ["part"]).collect()}
+    want = {}
+    for part in "ab":
+        want |= {(n, i): k for k, (n, i) in enumerate(sorted((n, i) for n, i, p in rows if p == part))}
+    assert got == want
+    shards = SM.assign_shards_in_order(df, ["n", "id"], 20, "part")
+    assert shards.count() == 300 and shards.groupBy("part", "shard").count().where("count > 20").count() == 0

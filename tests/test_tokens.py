@@ -64,3 +64,63 @@ def test_conversation_pairs(spark):
     pairs = INS.format_instructions(INS.conversation_pairs(conv)).collect()
     assert [(p.prompt, p.response) for p in pairs] == [("q1", "a1")]
     assert pairs[0].text == "q1\nOdpowiedz: a1"
+
+
+def _rows(spark, n, seed=3):
+    import random
+    rng = random.Random(seed)
+    rows = [(f"r{i}", ids := [rng.randrange(4, 99) for _ in range(rng.randrange(40))], [rng.randrange(2) for _ in ids]) for i in range(n)]
+    rows += [("none", None, None), ("empty", [], [])]
+    return rows, spark.createDataFrame(rows, "id string, ids array<int>, mask array<int>").repartition(3)
+
+
+def test_pack_masked_cuts_all_arrays_alike(spark):
+    rows, df = _rows(spark, 60)
+    opts = PackOptions(seq_len=16, buckets=2)
+    chunks = sorted(TK.pack_masked(df, opts).collect(), key=lambda r: (r.bucket, r.chunk))
+    docs, at = {}, {}
+    for c in chunks:
+        assert len(c.tokens) == len(c.loss_mask) == len(c.segment_ids) == len(c.positions) == c.n_tokens <= 16
+        for k, (t, m, s, p) in enumerate(zip(c.tokens, c.loss_mask, c.segment_ids, c.positions)):
+            new = k == 0 or s != c.segment_ids[k - 1]
+            assert p == (0 if new else c.positions[k - 1] + 1) and s == (1 if k == 0 else c.segment_ids[k - 1] + new)
+            at.setdefault(c.bucket, []).append((t, m))
+            if k and new:
+                assert c.tokens[k - 1] == TK.EOS
+    for stream in at.values():  # the documents come back whole, each ended by a scored EOS
+        doc = []
+        for t, m in stream:
+            doc.append((t, m))
+            if t == TK.EOS:
+                docs[tuple(doc)] = docs.get(tuple(doc), 0) + 1
+                doc = []
+        assert not doc
+    want = {}
+    for _, ids, mask in rows:
+        key = tuple(zip([*(ids or []), TK.EOS], [*(mask or []), 1]))
+        want[key] = want.get(key, 0) + 1
+    assert docs == want
+    full = TK.pack_masked(df, PackOptions(seq_len=16, buckets=2, keep_partial=False)).collect()
+    assert all(c.n_tokens == 16 for c in full) and len(full) < len(chunks)
+
+
+def test_pack_masked_rejects_another_length(spark):
+    import pytest
+    with pytest.raises(Exception, match="differ in length"):
+        TK.pack_masked(spark.createDataFrame([("a", [5, 6], [1])], "id string, ids array<int>, mask array<int>")).collect()
+
+
+def test_collate_pads_to_the_longest_of_a_batch(spark):
+    rows, df = _rows(spark, 50)
+    got = sorted(TK.collate(df, 4, "id", mask_col="mask").collect(), key=lambda r: (r.batch, r.row))
+    held = {i: (ids or [], mask or []) for i, ids, mask in rows}
+    order = sorted(held, key=lambda i: (len(held[i][0]), i))
+    assert [r.id for r in got] == order and [r.batch * 4 + r.row for r in got] == list(range(len(order)))
+    for r in got:
+        ids, mask = held[r.id]
+        width = max(len(held[i][0]) for i in order[r.batch * 4:r.batch * 4 + 4])
+        gap = width - len(ids)
+        assert r.padded_length == width and r.input_ids == ids + [TK.EOS] * gap and r.attention_mask == [1] * len(ids) + [0] * gap
+        assert r.labels == [t if m else -100 for t, m in zip(ids, mask)] + [-100] * gap
+    assert {r.input_ids[-1] for r in TK.collate(df, 4, "id", pad_id=0).collect() if 0 in r.attention_mask} == {0}
+    assert TK.collate(df.limit(0), 4, "id").collect() == []
