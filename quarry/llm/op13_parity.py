@@ -22,20 +22,17 @@ in few shingles: in at most ``D(a) = a * (den - num) / num``, a the smaller size
    smallest of all it meets. Links merge components, and documents of one
    component need not meet. Keys whose documents are still of several components
    are then compared between these: up to ``SMALL`` documents by a join, more in
-   units of ``CHUNK`` by ``CHUNK`` documents dealt over the tasks, each compared
+   units of ``chunk`` by ``chunk`` documents dealt over the tasks, each compared
    as a whole by its sketches, whatever the size of the key.
 4. Every pair has to pass the size filter and the Hamming distance of sketches
-   of ``WORDS`` words, and is verified on the full sets, taken again from the
-   texts: the texts of a document's partners come to it (in groups of ``CHUNK``
-   partners, each with its own copy of the document), so no text comes twice
-   to one group.
+   of one length, and is verified on the full sets (``pairs``).
 
 Edge cases: a text without words, or null, has the empty set and is linked with
 nothing. A null doc_id is linked with nothing, its component is null. Rows that
 repeat a doc_id share its component: its links are those of any of its texts.
 Ties go to the smallest doc_id. Empty tables give no rows. Extra columns are
 ignored. Shingles are 64-bit hashes. Ids to look up are broadcast up to
-``ID_ROWS`` rows (counted) and joined by a shuffle beyond.
+``pairs.ID_ROWS`` rows (counted) and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -47,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import textops
+from quarry.llm import pairs, textops
 from quarry.llm.registry import query, table
 from quarry.operators.components import connected_components
 from quarry.session import stage
@@ -56,10 +53,7 @@ WIDTH = 3
 RATIO = 1.2
 PAIRED = 8
 LEAST_BITS = 3
-WORDS = 16
-SMALL = 128
-CHUNK = 512
-ID_ROWS = 2_000_000
+SMALL = 32
 
 SIGNATURE = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, bits array<bigint>, keys array<bigint>"
 
@@ -88,12 +82,6 @@ def bands_of(n: int, num: int, den: int) -> list[int]:
     return out
 
 
-def parity(s: np.ndarray, words: int) -> np.ndarray:
-    """A sketch of 64 * words bits: each shingle flips one."""
-    flips = np.bincount((s % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
-
-
 @functools.lru_cache(maxsize=None)
 def _word_pairs(words: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(words, 1)
@@ -106,22 +94,16 @@ def band_keys(s: np.ndarray, band: int, num: int, den: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     salt = np.uint64(band) << np.uint64(40)
     if most < PAIRED:
-        words = parity(s, most + 2)
+        words = pairs.parity(s, most + 2)
         i, j = _word_pairs(most + 2)
         return textops.mix(textops.mix(words[i] ^ textops.mix(salt + i.astype(np.uint64))) + words[j] * np.uint64(3) + j.astype(np.uint64))
     spare = (most + 1) // 6 + 2
-    words = parity(s, most + 1 + spare)
+    words = pairs.parity(s, most + 1 + spare)
     keys = textops.mix(words ^ textops.mix(salt + np.arange(len(words), dtype=np.uint64)))
     strong = np.bitwise_count(words) >= LEAST_BITS
     return keys[strong] if len(words) - int(strong.sum()) <= spare else keys
 
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
-
-
 def _signature_batches(num: int, den: int):
     none = np.zeros(0, np.uint64)
 
@@ -133,75 +115,23 @@ def _signature_batches(num: int, den: int):
                 prints = np.array([[textops.mix(s ^ np.uint64(salt)).sum(dtype=np.uint64) for s in sets]
                                    for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)], dtype=np.uint64)
                 keys = [np.concatenate([band_keys(s, b, num, den) for b in bands_of(len(s), num, den)]) if len(s) else none for s in sets]
-                # another part of the hash than the bands': the two say different things
-                bits = [parity(s >> np.uint64(24), WORDS) if len(s) else none for s in sets]
+                bits = [pairs.sketch(s) for s in sets]  # of another part of the hash than the bands': the two say different things
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[0].view(np.int64)),
-                    pa.array(prints[1].view(np.int64)), _lists(bits), _lists(keys)],
+                    pa.array(prints[1].view(np.int64)), pairs.lists(bits), pairs.lists(keys)],
                     names=["doc_id", "n", "fp1", "fp2", "bits", "keys"])
     return signatures
 
 
-def _may_link(n, m, apart, num: int, den: int):
-    """Size filter and Hamming filter; on columns and numpy arrays alike."""
-    return (n * den >= m * num) & (m * den >= n * num) & (apart * (den + num) <= (n + m) * (den - num))
-
-
-def _sifted(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (id_a, id_b) that pass the filters; ``sizes``: id, n, bits."""
-    both = pairs.join(sizes.toDF("id_a", "n", "bits"), "id_a").join(sizes.toDF("id_b", "m", "bits_b"), "id_b")
-    apart = F.aggregate(F.zip_with("bits", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return both.where(_may_link(F.col("n"), F.col("m"), apart, num, den)).select("id_a", "id_b").distinct()
-
-
-def _verify_batches(num: int, den: int):
-    """Links among rows sorted by (id_a, part, id_b): the texts of id_a itself (null id_b) come first."""
-    def linked(batches):
-        at, own = None, []
-        for batch in batches:
-            groups = list(zip(batch.column("id_a").to_pylist(), batch.column("part").to_pylist()))
-            others = batch.column("id_b").to_pylist()
-            found = []
-            for lo, hi, data, offsets in textops.slices(batch, "text"):
-                for row, s in zip(range(lo, hi), textops.shingle_sets(data, offsets, WIDTH)):
-                    if groups[row] != at:
-                        at, own = groups[row], []
-                    if others[row] is None:
-                        own.append(s)
-                        continue
-                    for t in own:
-                        both = len(np.intersect1d(s, t, assume_unique=True))
-                        if both and den * both >= num * (len(s) + len(t) - both):
-                            found.append((at[0], others[row]))
-                            break
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["id_a", "id_b"])
-    return linked
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """The staged pairs (id_a, id_b) that are linked by their full sets."""
-    parts = pairs.groupBy("id_a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
-    cut = pairs.join(parts, "id_a").select(
-        F.col("id_b").alias("doc_id"), "id_a", F.pmod(F.xxhash64("id_b"), F.col("parts")).cast("int").alias("part"), "id_b")
-    own = parts.select(F.col("id_a").alias("doc_id"), "id_a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                       F.lit(None).cast("bigint").alias("id_b"))
-    wanted = stage(cut.union(own), "parity-wanted")
-    if wanted.count() <= ID_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, "doc_id").select("id_a", "part", "id_b", "text")
-    return stage(texts.repartition("id_a", "part").sortWithinPartitions("id_a", "part", F.col("id_b").asc_nulls_first()).mapInArrow(
-        _verify_batches(num, den), "id_a bigint, id_b bigint").distinct(), "parity-links")
-
-
 def _unit(num: int, den: int):
     """Pairs (id_a, id_b) of different components, of the documents of two chunks, that pass the filters."""
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
         (ia, la, na), (ib, lb, nb) = ([t.column(c).to_numpy() for c in ("id", "label", "n")] for t in (a, b))
-        wa, wb = (t.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS) for t in (a, b))
+        wa, wb = (t.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, pairs.WORDS) for t in (a, b))
         apart = np.zeros((len(ia), len(ib)), dtype=np.int64)
-        for k in range(WORDS):
+        for k in range(pairs.WORDS):
             apart += np.bitwise_count(wa[:, None, k] ^ wb[None, :, k])
-        x, y = np.nonzero(_may_link(na[:, None], nb[None, :], apart, num, den) & (la[:, None] != lb[None, :]))
+        x, y = np.nonzero(pairs.may_link(na[:, None], nb[None, :], apart, num, den) & (la[:, None] != lb[None, :]))
         return pa.table({"id_a": np.minimum(ia[x], ib[y]), "id_b": np.maximum(ia[x], ib[y])})
     return compare
 
@@ -214,7 +144,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, key: str = "id", out: s
         out, F.coalesce("_l", key)).drop("_l")
 
 
-def links(reps: DataFrame, docs: DataFrame, num: int, den: int, small: int = SMALL, chunk: int = CHUNK) -> DataFrame | None:
+def links(reps: DataFrame, docs: DataFrame, num: int, den: int, small: int = SMALL, chunk: int = pairs.CHUNK) -> DataFrame | None:
     """(node, label) of every class representative that is linked with another; None without any.
 
     ``reps``: doc_id, n, bits, keys. ``docs``: doc_id, text.
@@ -228,47 +158,49 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, small: int = SMA
         return None
     labels, edges = None, []
 
-    def confirm(pairs: DataFrame) -> None:
+    def confirm(candidates: DataFrame) -> None:
+        """Take the links among candidates that passed the filters."""
         nonlocal labels
-        pairs = stage(_sifted(pairs, sizes, num, den), "parity-pairs")
-        found = None if pairs.isEmpty() else _verified(pairs, docs, num, den)
+        candidates = stage(candidates, "parity-pairs")
+        found = None if candidates.isEmpty() else pairs.verified(candidates, docs, WIDTH, num, den)
         if found is not None and not found.isEmpty():
             edges.append(found)
             labels = connected_components(functools.reduce(DataFrame.union, edges))
 
     star = stage(held.where("id <> first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b")).distinct(), "parity-stars")
     nearest = star.groupBy("id_b").agg(F.min("id_a").alias("id_a")).select("id_a", "id_b")
-    confirm(nearest)
+    confirm(pairs.sifted(nearest, sizes, num, den))
     apart = _labelled(_labelled(star, labels, "id_a", "_a"), labels, "id_b", "_b").where("_a <> _b").select("id_a", "id_b")
-    confirm(apart.join(nearest, ["id_a", "id_b"], "left_anti"))
+    confirm(pairs.sifted(apart.join(nearest, ["id_a", "id_b"], "left_anti"), sizes, num, den))
 
     seen = stage(_labelled(held, labels), "parity-rows")
     parts = seen.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
         F.sum("m").alias("size"), F.max(F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
     left = stage(seen.drop("size").join(parts.where("parts > 1").drop("parts"), "key").select(
-        "key", "id", "label", "size", F.col("main.label").alias("main"), F.col("main.m").alias("m"), "first"), "parity-left")
+        "key", "id", "label", "size", F.col("main.label").alias("main"), F.col("main.m").alias("m")).join(sizes, "id"), "parity-left")
     if left.isEmpty():
         return labels
     a, b = left.where((F.col("size") <= small) & (F.col("label") != F.col("main"))).alias("a"), left.alias("b")
-    few = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label"))).select(
+    few = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label"))
+                 & pairs.may_link(F.col("a.n"), F.col("b.n"), pairs.apart("a.bits", "b.bits"), num, den)).select(
         F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
     many = left.where(F.col("size") > small)
-    pairs = few
+    met = few
     if not many.isEmpty():
         # few documents outside the main component against all, in chunks of both
-        many = stage(many.join(sizes, "id").withColumn("na", F.ceil((F.col("size") - F.col("m")) / chunk).cast("int")).withColumn(
-            "nb", F.ceil(F.col("size") / chunk).cast("int")), "parity-many")
+        many = many.withColumn("na", F.ceil((F.col("size") - F.col("m")) / chunk).cast("int")).withColumn(
+            "nb", F.ceil(F.col("size") / chunk).cast("int"))
         of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         unit = ["key", "ca", "cb"]
         x = many.where("label <> main").select("key", of("na").alias("ca"), every("nb").alias("cb"), "id", "label", "n", "bits")
         y = many.select("key", every("na").alias("ca"), of("nb").alias("cb"), "id", "label", "n", "bits").toDF(*x.columns)
-        pairs = few.union(x.groupBy(*unit).cogroup(y.groupBy(*unit)).applyInArrow(_unit(num, den), "id_a bigint, id_b bigint")).distinct()
-    confirm(pairs.join(star, ["id_a", "id_b"], "left_anti"))
+        met = few.union(x.groupBy(*unit).cogroup(y.groupBy(*unit)).applyInArrow(_unit(num, den), "id_a bigint, id_b bigint")).distinct()
+    confirm(met.join(star, ["id_a", "id_b"], "left_anti"))
     return labels
 
 
-def components(docs: DataFrame, num: int = 90, den: int = 100, small: int = SMALL, chunk: int = CHUNK,
+def components(docs: DataFrame, num: int = 90, den: int = 100, small: int = SMALL, chunk: int = pairs.CHUNK,
                text_col: str = "text", key_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     docs = docs.select(F.col(key_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
