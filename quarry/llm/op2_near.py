@@ -21,10 +21,10 @@ form components, of which the smallest doc_id stays.
    is a node, compared in the same way, and with a positional filter, whatever
    its size; so the recall of the roots is that of the whole.
 4. Candidates must pass the size filter (exact) and a filter on 64 one-bit
-   minwise tokens (``BITS_APART``; a pair at the threshold fails it with a
-   probability below 1e-7). What is left is verified on the full sets, taken
-   again from the texts of those documents alone; their ids are broadcast up to
-   ``ID_ROWS`` rows (counted) and joined by a shuffle beyond.
+   minwise tokens (``bits_apart``, from the threshold: a pair there fails it with
+   a probability below 1e-9), then the Hamming distance of parity sketches
+   (exact). What is left is verified on the full sets (``pairs``); ids are
+   broadcast up to ``ID_ROWS`` rows (counted) and joined by a shuffle beyond.
 
 Edge cases: a text without words, or null, has the empty set and is linked with
 nothing. A null doc_id is linked with nothing, its component is null and it is
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import textops
+from quarry.llm import pairs, textops
 from quarry.llm.registry import query, table
 from quarry.operators.components import connected_components
 from quarry.session import stage
@@ -51,7 +51,6 @@ COORDS = 64
 BRANCH = 2
 SMALL = 256
 BUCKETS = 1 << 18
-BITS_APART = 20
 ID_ROWS = 2_000_000
 WIDTH = 5
 
@@ -59,7 +58,7 @@ _RNG = np.random.default_rng(7)
 _XOR = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64)
 _MUL = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SIGNATURE = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, bits bigint, sig array<bigint>"
+SIGNATURE = "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, bits bigint, sig array<bigint>, sketch array<bigint>"
 
 
 def trees_for(recall: float, num: int, den: int) -> int:
@@ -99,31 +98,19 @@ def _signature_batches(batches):
                 ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(n), pa.array(prints[0].view(np.int64)),
                 pa.array(prints[1].view(np.int64)), pa.array(bits.view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, (hi - lo + 1) * COORDS, COORDS, dtype=np.int32)), flat_sig),
-            ], names=["doc_id", "n", "fp1", "fp2", "bits", "sig"])
+                pairs.lists([pairs.sketch(s) for s in sets]),
+            ], names=["doc_id", "n", "fp1", "fp2", "bits", "sig", "sketch"])
 
 
-def _set_batches(ids: list[str], name: str):
-    def sets_of(batches):
-        for batch in batches:
-            for lo, hi, data, offsets in textops.slices(batch, "text"):
-                sets = textops.shingle_sets(data, offsets, WIDTH)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(lo, hi - lo) for c in ids), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=[*ids, name])
-    return sets_of
-
-
-def _linked_batches(num: int, den: int):
-    def linked(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-                both = int((a[at] == b).sum())
-                keep.append(den * both >= num * (len(a) + len(b) - both))
-            yield batch.select(["id_a", "id_b"]).filter(pa.array(keep, pa.bool_()))
-    return linked
+@functools.lru_cache(maxsize=None)
+def bits_apart(num: int, den: int, miss: float = 1e-9) -> int:
+    """In how many of the COORDS one-bit tokens a pair at the threshold may differ, but for a chance of ``miss``."""
+    p, at, left = (den - num) / den / 2, 0, 1.0
+    while True:
+        left -= math.comb(COORDS, at) * p ** at * (1 - p) ** (COORDS - at)
+        if left < miss or at == COORDS:
+            return at
+        at += 1
 
 
 def _near(a: str, b: str, num: int, den: int):
@@ -131,24 +118,7 @@ def _near(a: str, b: str, num: int, den: int):
     n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
     apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
     most = F.least(i, j) + F.least(n - i, m - j)
-    return (most * (num + den) >= (n + m) * num) & (apart <= BITS_APART)
-
-
-def _with_sets(docs: DataFrame, ids: DataFrame, own: str, name: str) -> DataFrame:
-    """``ids`` with the set of the documents in their column ``own``, from the texts of those documents alone."""
-    if ids.count() <= ID_ROWS:
-        ids = F.broadcast(ids)
-    others = [c for c in ids.columns if c != own]
-    return docs.withColumnRenamed("doc_id", own).join(ids, own).select(own, *others, "text").mapInArrow(
-        _set_batches([own, *others], name), ", ".join(f"{c} bigint" for c in [own, *others]) + f", {name} binary")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """The staged pairs that pass on the full sets. Both sets of a pair meet by its smaller id, the one that repeats."""
-    first = stage(pairs.select("id_a").distinct(), "path-ids")
-    both = _with_sets(docs, pairs, "id_b", "set_b").join(_with_sets(docs, first, "id_a", "set_a"), "id_a")
-    return stage(both.select("id_a", "id_b", "set_a", "set_b").mapInArrow(
-        _linked_batches(num, den), "id_a bigint, id_b bigint").distinct(), "path-links")
+    return (most * (num + den) >= (n + m) * num) & (apart <= bits_apart(num, den))
 
 
 def _bucket_batches(batches):
@@ -217,7 +187,7 @@ def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float = 0.999999, small: int = SMALL) -> DataFrame:
     """(node, label) of every class representative that is linked with another.
 
-    ``reps``: doc_id, n, bits, sig. ``docs``: doc_id, text.
+    ``reps``: doc_id, n, bits, sig, sketch. ``docs``: doc_id, text.
     """
     roots = min(trees_for(recall, num, den) * BRANCH, COORDS)
     rows = reps.select(
@@ -225,10 +195,12 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
     ).select(F.xxhash64("_c", "_token").alias("node"), "id", "n", "bits", F.lit(0).cast("bigint").alias("pos"), F.col("id").alias("label"))
     labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
 
-    def verified(pairs: DataFrame) -> DataFrame | None:
-        """Those of the pairs that are links; None without any."""
-        pairs = stage(pairs, "path-pairs")
-        edges = None if pairs.isEmpty() else _verified(pairs, docs, num, den)
+    sketches = reps.select(F.col("doc_id").alias("id"), "n", F.col("sketch").alias("bits"))
+
+    def verified(candidates: DataFrame) -> DataFrame | None:
+        """Those of the candidates that are links; None without any."""
+        candidates = stage(pairs.sifted(stage(candidates, "path-pairs"), sketches, num, den), "path-pairs")
+        edges = None if candidates.isEmpty() else pairs.verified(candidates, docs, WIDTH, num, den)
         return None if edges is None or edges.isEmpty() else edges
 
     for exact in (False, True):
@@ -259,10 +231,10 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         few = left.where(solved)
         others = few.where(F.col("label") != F.col("main.label"))
         a, b = others.alias("a"), few.alias("b")
-        pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
+        few_pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
                        & _near("a", "b", num, den)).select(
             F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
-        edges = verified(pairs)
+        edges = verified(few_pairs)
         labels = labels if edges is None else _merged(labels, edges)
         many = left.where(~solved)
         if exact or many.isEmpty():
@@ -286,7 +258,7 @@ def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0
         "doc_id", "n", "row", F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id")).alias("rep"),
         F.coalesce("first.row", "row").alias("rep_row")), "path-members")
     others = members.where("row <> rep_row").select("row")
-    reps = whole.join(others, "row", "left_anti").select("doc_id", "n", "bits", "sig")
+    reps = whole.join(others, "row", "left_anti").select("doc_id", "n", "bits", "sig", "sketch")
     found = links(reps, docs, num, den, recall, small)
     out = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("label", "rep")
