@@ -29,6 +29,8 @@ LEAST_WORDS, REPEAT_PCT, LOST_PCT, MARKS_PCT = 10, 20, 50, 10
 #: The rules' patterns.
 MARK = "[!?#*$%&|<>=_~^{}]"
 NAVIGATION = r"^([^|»›·•>]{1,40}[|»›·•>]){2,}[^|»›·•>]{0,40}\z"
+#: The same for Java, whose engine recurses for each repeat of a group unless the loop is possessive.
+NAVIGATION_JAVA = NAVIGATION.replace("^(", "^(?:").replace("{2,}", "{2,}+")
 PHRASES = ["all rights reserved", "cookie policy", "accept cookies", "privacy policy", "terms of use", "terms of service",
            "click here", "read more", "subscribe now", "subscribe to our", "sign up for", "log in to", "share this",
            "enable javascript", "lorem ipsum", "skip to content", "back to top", "add to cart"]
@@ -38,7 +40,7 @@ BOILERPLATE = "(?i)(" + "|".join(PHRASES) + ")"
 def bad_line(line: Column) -> Column:
     """Whether a line fails a rule (a line without words never does: it has no marks)."""
     marks = F.regexp_count(line, F.lit(MARK)) * 100 > F.length(line) * MARKS_PCT
-    return marks | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
+    return marks | line.rlike(NAVIGATION_JAVA) | line.rlike(BOILERPLATE)
 
 
 def word_chars(text: Column) -> Column:

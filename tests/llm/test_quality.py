@@ -44,3 +44,10 @@ def test_edge_rows(spark):
     out = Q.judge(edge.docs(spark))
     assert edge.count(out) == len(edge.rows())
     assert Q.judge(edge.empty(spark)).collect() == []
+
+
+def test_long_navigation_lines(spark):
+    """Patterns with repeated groups take any number of repeats without the regex engine running out of stack."""
+    prose = "\n".join(f"Plain line number {i} says something of its own." for i in range(8))
+    got = judged(spark, [prose + "\n" + "a·" * 200_000, prose + "\n" + "label |" * 50_000, "x " * 100_000 + "|" * 10])
+    assert got[0].text_clean == got[1].text_clean == prose and got[0].lines_removed == 1
