@@ -40,7 +40,7 @@ KEY = "quarry"
 STEPS = 8
 KINDS = ("card", "ssn", "ip", "phone", "date", "email")
 #: What each kind looks like, in the order in which they are tried.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"  # possessive: any number of labels without recursion
 ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 DAY = r"(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])"
@@ -236,7 +236,7 @@ def _date(x: Column, key: str) -> Column:
 
 
 def _email(x: Column, key: str) -> Column:
-    return F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws(":", F.lit(key), F.lit("email"), F.lower(x)).cast("binary"), 256), 1, 12),
+    return F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws(":", F.lit(key), F.lit("email"), F.lower(x)).cast("binary"), 256), 1, 32),
                     F.lit("@example.invalid"))
 
 

@@ -98,3 +98,10 @@ def test_values_next_to_numbers_are_found(spark):
         for _, a, b in hits:
             before = before.replace(a, b)
         assert text == before
+
+
+def test_long_values(spark):
+    """Patterns with repeated groups take any number of repeats without the regex engine running out of stack."""
+    texts = ["x@b" + ".c" * 200_000, "write to a@b" + "-c" * 200_000 + ".de now", "+1" + " 234" * 100_000, "4" * 200_000, "1." * 200_000]
+    got = run(spark, texts)
+    assert got[0][0].endswith("@example.invalid") and got[1][0].endswith("@example.invalid now") and len(got) == 5
