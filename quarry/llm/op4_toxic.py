@@ -56,8 +56,11 @@ CLEAN_TOKENS = 4000
 ROUNDS = 3
 RIDGE = 0.3
 CUT = 0.3
-CACHE = 400_000
+CACHE = 600_000  # token weights that a task keeps
+TEXTS = 1 << 21  # characters of texts whose tokens are scored together
 CHUNK = 1 << 20  # features in hand at once
+LONG = 1 << 16  # tokens of more characters are hashed in blocks
+SIEVE_BITS = 22
 
 _STEPS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 _WEIGHTS = np.array([LAMBDA ** (k + 1) for _, k in _STEPS])
@@ -83,6 +86,14 @@ def sentences(text: str | None) -> list[list[str]]:
     return out
 
 
+def bag(text: str | None) -> set[str]:
+    """The distinct raw tokens of all sentences of the text."""
+    out: set[str] = set()
+    for line in (text or "").lower().split("\n"):
+        out.update(_APART.sub(lambda m: "".join(m[0].split()), line).split())
+    return out
+
+
 def features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Subsequence hashes and weights of tokens of one length: codes (tokens, length) -> (tokens, features)."""
     n, length = codes.shape
@@ -106,6 +117,27 @@ def self_kernel(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.add.reduceat(sums ** 2, np.concatenate([[0], np.cumsum(new.sum(axis=1))[:-1]]))
 
 
+def _blocks(codes: np.ndarray):
+    """(hashes, weights) of one token's subsequences, by blocks of first characters."""
+    step = CHUNK // len(_STEPS)
+    for (j, k), w in zip(_STEPS, _WEIGHTS):
+        for lo in range(0, len(codes) - k, step):
+            a = codes[lo:min(lo + step, len(codes) - k)]
+            h = (a * np.uint64(0x110001) + codes[lo + j:lo + j + len(a)]) * np.uint64(0x110003) + codes[lo + k:lo + k + len(a)]
+            yield mix(h), w
+
+
+def long_self_kernel(codes: np.ndarray) -> float:
+    """The self kernel of one long token, summed over parts of the hash space of about 16 * CHUNK features each."""
+    parts, total = max(1, len(codes) * len(_STEPS) // (CHUNK * 16)), 0.0
+    for part in range(parts):
+        held = [(h[h % np.uint64(parts) == part], w) for h, w in _blocks(codes)]
+        hashes, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        sums = np.bincount(at, np.concatenate([np.full(len(h), w) for h, w in held]), len(hashes))
+        total += float((sums ** 2).sum())
+    return total
+
+
 class Landmarks:
     """The kernel of tokens with a fixed list of landmark tokens."""
 
@@ -123,6 +155,25 @@ class Landmarks:
         self.counts = np.bincount(at, minlength=len(self.known))
         self.starts = np.cumsum(self.counts) - self.counts
         self.norms = np.sqrt(np.array(norms))
+        self.sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)  # by the last bits of a hash: whether one of the known has them
+        self.sieve[self.known & np.uint64(len(self.sieve) - 1)] = True
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the flat ``hashes``, numbers of the known subsequences there)."""
+        flat = hashes.ravel()
+        where = np.flatnonzero(self.sieve[flat & np.uint64(len(self.sieve) - 1)])
+        at = np.minimum(np.searchsorted(self.known, flat[where]), len(self.known) - 1)
+        same = self.known[at] == flat[where]
+        return where[same], at[same]
+
+    def _long(self, codes: np.ndarray) -> np.ndarray:
+        """The kernel of one token of any length."""
+        both = np.zeros(len(self.tokens))
+        for hashes, w in _blocks(codes):
+            for code, times in zip(*np.unique(self._known(hashes)[1], return_counts=True)):
+                own = slice(self.starts[code], self.starts[code] + self.counts[code])
+                np.add.at(both, self.columns[own], self.values[own] * (w * times))
+        return np.minimum(1.0, both / (np.sqrt(long_self_kernel(codes)) * self.norms)) ** POWER
 
     def kernel(self, tokens: list[str]) -> np.ndarray:
         """(tokens, landmarks) in [0, 1]; tokens under three characters have no subsequence and give 0."""
@@ -135,13 +186,15 @@ class Landmarks:
             step = max(1, CHUNK // (length * len(_STEPS) * 16))
             for lo in range(0, len(where), step):
                 part = where[lo:lo + step]
-                codes = np.frombuffer("".join(tokens[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32)
+                codes = np.frombuffer("".join([tokens[i] for i in part]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                if length > LONG:
+                    out[part[0]] = self._long(codes.astype(np.uint64))
+                    continue
                 hashes, weights = features(codes.astype(np.uint64).reshape(len(part), length))
-                at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-                row, col = np.nonzero(self.known[at] == hashes)
-                if len(row):
+                where_known, code = self._known(hashes)
+                if len(code):
+                    row, col = np.divmod(where_known, hashes.shape[1])
                     hit, row = np.unique(row, return_inverse=True)
-                    code = at[hit[row], col]
                     times = self.counts[code]
                     entry = np.arange(times.sum()) + np.repeat(self.starts[code] - (np.cumsum(times) - times), times)
                     cell = np.repeat(row * len(self.tokens), times) + self.columns[entry]
@@ -167,27 +220,41 @@ class Model:
         return Model, (self.landmarks, self.v, self.bias, self.platt)
 
     def _learn(self, raw: set[str]) -> None:
-        """Weights of tokens that the cache lacks."""
-        if len(self.cache) > CACHE:
+        """Weights of tokens that the cache lacks; tokens that are the same once cleaned are scored once."""
+        if len(self.cache) + len(raw) > CACHE:
             self.cache.clear()
-        missing = [t for t in raw if t not in self.cache]
-        for lo in range(0, len(missing), 4096):
-            part = missing[lo:lo + 4096]
-            self.cache.update(zip(part, (self.landmarks.kernel([clean(t) for t in part]) @ self.v).tolist()))
-
-    def sentence(self, tokens: list[str]) -> tuple[float, str]:
-        """(margin, token that decides it); the first of equals decides."""
-        token = max(tokens, key=self.cache.__getitem__)
-        return self.cache[token] + self.bias, token
+        missing: dict[str, list[str]] = {}
+        for t in raw:
+            if t not in self.cache:
+                missing.setdefault(clean(t), []).append(t)
+        cleaned = list(missing)
+        for lo in range(0, len(cleaned), 4096):
+            part = cleaned[lo:lo + 4096]
+            for c, weight in zip(part, (self.landmarks.kernel(part) @ self.v).tolist()):
+                self.cache.update(dict.fromkeys(missing[c], weight))
+
+    def margins(self, texts: list[str | None]) -> list[float]:
+        """The margin of every text's most toxic sentence, which is that of its most toxic token.
+
+        The tokens of about ``TEXTS`` characters of texts are scored at a time.
+        """
+        out, held, size = [], [], 0
+        for i, text in enumerate(texts):
+            held.append(bag(text))
+            size += len(text or "")
+            if size >= TEXTS or i == len(texts) - 1:
+                self._learn(set().union(*held))
+                get = self.cache.__getitem__
+                out += [max(map(get, own), default=0.0) + self.bias for own in held]
+                held, size = [], 0
+        return out
 
-    def best(self, parts: list[list[str]]) -> tuple[float, str]:
-        """(margin, deciding token) of the most toxic sentence."""
-        self._learn({t for s in parts for t in s})
-        return max(map(self.sentence, parts), key=lambda x: x[0], default=(self.bias, ""))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        a, b = self.platt
+        return 1 / (1 + np.exp(-np.clip(a * np.array(self.margins(texts), dtype=float) + b, -50, 50)))
 
     def score(self, text: str | None) -> float:
-        a, b = self.platt
-        return float(1 / (1 + np.exp(-np.clip(a * self.best(sentences(text))[0] + b, -50, 50))))
+        return float(self.scores([text])[0])
 
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
@@ -226,7 +293,7 @@ def _token_batches(batches):
     for batch in batches:
         tokens, labels = [], []
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = {clean(t) for s in sentences(text) for t in s}
+            own = {clean(t) for t in bag(text)}
             own = [t for t in own if 3 <= len(t) <= LONGEST_LANDMARK]
             tokens += own
             labels += [toxic] * len(own)
@@ -240,7 +307,7 @@ def _witness_batches(weights):
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
-                own = {t: get(t, 0.0) for t in {clean(t) for s in sentences(text) for t in s}}
+                own = {t: get(t, 0.0) for t in {clean(t) for t in bag(text)}}
                 best = max(own.values(), default=0.0)
                 out += [t for t, w in own.items() if best > 0 and w >= NEAR_BEST * best]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["token"])
@@ -262,7 +329,7 @@ def _hardness_batches(model):
 def _margin_batches(model):
     def margin(batches):
         for batch in batches:
-            found = [model.value.best(sentences(t))[0] for t in batch.column("text").to_pylist()]
+            found = model.value.margins(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.float64())], names=["toxic", "margin"])
     return margin
 
@@ -327,7 +394,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", score_co
     def apply(batches):
         for batch in batches:
             held = shared.value
-            found = [held.score(t) if held else 0.0 for t in batch.column(text_col).to_pylist()]
+            found = held.scores(batch.column(text_col).to_pylist()) if held else np.zeros(len(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],
                                              names=[*batch.schema.names, score_col])
 

@@ -35,6 +35,32 @@ def test_sentences_and_spaced_letters():
     assert T.clean("i.d-iot!") == "idiot" and T.sentences(None) == [] and T.sentences(" \n ") == []
 
 
+def test_long_tokens_in_blocks(monkeypatch):
+    marks = T.Landmarks(["idiot", "abcabc", "worthless"])
+    tokens = ["".join(random.Random(i).choices("abcidot", k=n)) for i, n in enumerate((40, 700, 3000))]
+    whole = marks.kernel(tokens)
+    monkeypatch.setattr(T, "LONG", 30)
+    monkeypatch.setattr(T, "CHUNK", 640)
+    assert np.allclose(marks.kernel(tokens), whole) and whole.max() > 0
+
+
+def test_a_token_of_millions_of_characters():
+    assert T.Landmarks(["idiot"]).kernel(["idiot" * 600_000]).shape == (1, 1)
+
+
+def test_a_bag_holds_the_tokens_of_all_sentences():
+    for text in ("You i d i o t now. C d\ng!", "a b c d\ne f g h\n", "", None, "x. y! z?"):
+        assert T.bag(text) == {t for s in T.sentences(text) for t in s}
+
+
+def test_margins_do_not_depend_on_grouping(model, monkeypatch):
+    texts = [t for _, t in corpus()[0][:60]] + [None, "", "nitwit"]
+    whole = model.margins(texts)
+    monkeypatch.setattr(T, "TEXTS", 200)
+    monkeypatch.setattr(T, "CACHE", 50)
+    assert model.margins(texts) == pytest.approx(whole) == [model.margins([t])[0] for t in texts]
+
+
 def corpus():
     rng, insults = random.Random(5), ["blockhead", "nitwit", "dunderpate"]
     rows, labels = [], []
