@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.registry import fold, query, table
+from quarry.llm.registry import fold, fresh, query, table
 from quarry.llm.textops import mix
 from quarry.session import stage
 
@@ -212,9 +212,10 @@ def keep_identified(docs: DataFrame, least: float = 0.3, key_col: str = "doc_id"
     errors (at most 1 / sqrt of their number) are given to it.
     """
     filters = train(docs.where(fold(key_col) != 2))
-    rows = predict(docs, filters, pred_col="_pred_", score_col="_known_")
-    likely = F.col("_known_") + 1 / F.sqrt(F.greatest(F.length("text"), F.lit(1)))
-    return rows.where((F.col("_pred_") != "und") & (likely >= least)).drop("_pred_", "_known_")
+    pred, known = fresh(docs, "_pred"), fresh(docs, "_known")
+    rows = predict(docs, filters, pred_col=pred, score_col=known)
+    likely = F.col(known) + 1 / F.sqrt(F.greatest(F.length("text"), F.lit(1)))
+    return rows.where((F.col(pred) != "und") & (likely >= least)).drop(pred, known)
 
 
 @query("op10_language_id")

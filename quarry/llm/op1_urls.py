@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from quarry.llm.registry import query, table
+from quarry.llm.registry import fresh, query, table
 
 #: The rules of the query.
 RULES = [
@@ -101,16 +101,18 @@ def match_by_trie(df: DataFrame, rules, default: str = "allow", url_col: str = "
         return pd.DataFrame(found, columns=["rule", "verdict"])
 
     host, path = split_url(F.col(url_col))
-    out = df.withColumns({"host": host, "path": path}).withColumn("_judged", judge("host", "path"))
-    return out.withColumns({"rule": F.col("_judged.rule"), "verdict": F.col("_judged.verdict")}).drop("_judged")
+    judged = fresh(df, "_judged")
+    out = df.withColumns({"host": host, "path": path}).withColumn(judged, judge("host", "path"))
+    return out.withColumns({"rule": F.col(f"{judged}.rule"), "verdict": F.col(f"{judged}.verdict")}).drop(judged)
 
 
 def match_by_join(df: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url") -> DataFrame:
     """The same result for rule sets of any size: a join on (host suffix, whole segments)."""
     host, path = split_url(F.col(url_col))
-    rows = df.withColumns({"host": host, "path": path, "_row": F.monotonically_increasing_id()})
+    row, found = fresh(df, "_row"), fresh(df, "_found")
+    rows = df.withColumns({"host": host, "path": path, row: F.monotonically_increasing_id()})
     labels, parts = F.split("host", r"\."), F.split("path", "/")
-    keys = rows.select("_row", "path", F.explode(F.transform(
+    keys = rows.select(F.col(row).alias("_row"), "path", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("_h"))
     keys = keys.select("_row", "path", "_h", F.explode(F.transform(
@@ -121,10 +123,10 @@ def match_by_join(df: DataFrame, rules: DataFrame, default: str = "allow", url_c
         F.regexp_replace("path", "/?[^/]*$", "").alias("_s"))
     order = F.struct(F.length("_h") + F.length("_p"), F.length("_h"), (F.col("verdict") == "block").cast("int"))
     best = keys.join(ruled, ["_h", "_s"]).where(F.col("path").startswith(F.col("_p"))).groupBy("_row").agg(
-        F.max_by(F.struct(F.concat("_h", "_p").alias("rule"), "verdict"), order).alias("_b"))
-    out = rows.drop("rule", "verdict").join(best, "_row", "left")
-    return out.withColumns({"rule": F.col("_b.rule"), "verdict": F.coalesce("_b.verdict", F.lit(default))}).drop(
-        "_b", "_row")
+        F.max_by(F.struct(F.concat("_h", "_p").alias("rule"), "verdict"), order).alias(found)).withColumnRenamed("_row", row)
+    out = rows.drop("rule", "verdict").join(best, row, "left")
+    return out.withColumns({"rule": F.col(f"{found}.rule"), "verdict": F.coalesce(f"{found}.verdict", F.lit(default))}).drop(
+        found, row)
 
 
 def url_filter(df: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url",

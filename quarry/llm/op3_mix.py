@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.registry import query, table
+from quarry.llm.registry import fresh, query, table
 from quarry.session import stage
 
 #: Fixed values of the query: topics by pattern, the rest is "prose".
@@ -87,14 +87,15 @@ def probabilities(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
 
 
 def _weighted(docs: DataFrame, cells: DataFrame, keep: float, key_col: str) -> DataFrame:
-    """``docs`` with ``_mix``: source, lang, topic, tokens, weight, prob, kept."""
+    """``docs`` with a column ``fresh(docs, "_mix")``: source, lang, topic, tokens, weight, prob, kept."""
     m = measured(docs)
-    rows = docs.withColumn("_mix", F.struct(*[c.alias(n) for n, c in m.items()]))
-    cell = cells.select(F.struct(*DIMS).alias("_cell"), F.col("weight").alias("_weight"))
-    prob = F.least(F.lit(1.0), F.lit(keep) * F.col("_weight"))
-    return rows.join(cell, F.struct(*[F.col(f"_mix.{d}").alias(d) for d in DIMS]) == F.col("_cell")).select(
-        *[docs[c] for c in docs.columns], F.struct("_mix.*", F.col("_weight").alias("weight"), prob.alias("prob"),
-                                                  (uniform(key_col) < prob).alias("kept")).alias("_mix"))
+    mix, key, weight = (fresh(docs, n) for n in ("_mix", "_cell", "_weight"))
+    rows = docs.withColumn(mix, F.struct(*[c.alias(n) for n, c in m.items()]))
+    cell = cells.select(F.struct(*DIMS).alias(key), F.col("weight").alias(weight))
+    prob = F.least(F.lit(1.0), F.lit(keep) * F.col(weight))
+    return rows.join(cell, F.struct(*[F.col(f"{mix}.{d}").alias(d) for d in DIMS]) == F.col(key)).select(
+        *[docs[c] for c in docs.columns], F.struct(f"{mix}.*", F.col(weight).alias("weight"), prob.alias("prob"),
+                                                  (uniform(key_col) < prob).alias("kept")).alias(mix))
 
 
 def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, rounds: int = ROUNDS,
@@ -109,7 +110,8 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: f
 def keep_sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP,
                  rounds: int = ROUNDS, key_col: str = "doc_id") -> DataFrame:
     """The documents that are taken, with their columns."""
-    return _weighted(docs, probabilities(docs, targets, keep, rounds), keep, key_col).where("_mix.kept").drop("_mix")
+    mix = fresh(docs, "_mix")
+    return _weighted(docs, probabilities(docs, targets, keep, rounds), keep, key_col).where(F.col(f"{mix}.kept")).drop(mix)
 
 
 def _sql() -> str:

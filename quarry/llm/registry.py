@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of it in any case: for columns that an operator adds for a while."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def fold(key: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 4 (null for a null id)."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4
