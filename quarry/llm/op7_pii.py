@@ -20,7 +20,8 @@ email the usual shape                           (keyed hash, not invertible)
 ===== ========================================= ==============================
 
 What is found but not valid stays; a phone does not go on into another value, and
-in a run of digits the valid cards are looked for at its groups. A country code
+in a run of digits the valid cards are looked for at its groups. The key of the query, ``KEY``, is public: give your
+own where pseudonyms have to hide. A country code
 other than 1 does not say how many digits follow: a number of two to four digits
 after a blank counts as the phone's. Dates: year first with ``-``; month first
 with ``/`` where that is a day, else day first; day first with ``.``. Null texts
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.registry import query, table
+from quarry.llm.registry import fresh, query, table
 
 KEY = "quarry"
 STEPS = 8
@@ -52,6 +53,8 @@ NEXT = rf" (?:{IP}|{ISO}|{DAY}|{SSN}|{CARDS[1]}|{CARDS[2]})(?![A-Za-z0-9])"
 _DIGIT = r"[0-9][ .()-]{0,3}"
 PHONE = (r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![A-Za-z0-9])"  # country code 1 has ten more digits
          rf"|\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{2,4}}\)?(?:(?!{NEXT})[ .-]?\(?[0-9]{{2,4}}\)?){{1,4}}(?<={_DIGIT * 8})(?<!{_DIGIT * 16})")
+#: The country codes of one and two digits; the others have three.
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 #: Thirteen digits or more, in which the cards are looked for.
 RUN = rf"[0-9](?:[0-9]|(?! (?:{IP}|{ISO}|{DAY}|{SSN}|[0-9]{{1,2}}/[0-9])(?![A-Za-z]))[ -][0-9]){{12,75}}"
 BEFORE = r"(?<![A-Za-z0-9_%+-])(?<![^A-Za-z]\.)(?<!^\.)"  # a point may end an abbreviation
@@ -209,10 +212,9 @@ def _ip(x: Column, key: str) -> Column:
 
 
 def _phone(x: Column, key: str) -> Column:
-    # the country code is what stands before the first separator; one digit when nothing separates it
-    code = F.length(_part(x, r"^\+([0-9]{1,3})[ .(-]", 1))
-    keep = F.when(code > 0, code).otherwise(1) + 1
+    # the digits alone say what the country code is, so a number has one pseudonym in all its spellings
     d = _digits(x)
+    keep = F.length(_part(d, rf"^({COUNTRY}|[0-9]{{3}})", 1)) + 1
     return refill(x, F.concat(F.substring(d, F.lit(1), keep),
                               permute_digits("phone", F.substring(d, keep + 1, F.length(d) - keep), key)))
 
@@ -251,15 +253,16 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", out_col: str = "text",
     """``docs`` with its text pseudonymized in ``out_col`` and the findings in ``pii``: (kind, before, after)."""
     text = F.col(text_col)
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(FOUND), 0)).otherwise(F.array().cast("array<string>"))
-    rows = docs.withColumn("_hits", hits).withColumn(
-        "_hits", F.transform("_hits", lambda x: F.struct(x.alias("before"), values_in(x).alias("values"))))
-    rows = rows.withColumn("_hits", F.transform("_hits", lambda h: F.struct(h["before"], F.transform(h["values"], lambda v: F.struct(
+    held, new = fresh(docs, "_hits"), fresh(docs, "_new")
+    rows = docs.withColumn(held, hits).withColumn(
+        held, F.transform(held, lambda x: F.struct(x.alias("before"), values_in(x).alias("values"))))
+    rows = rows.withColumn(held, F.transform(held, lambda h: F.struct(h["before"], F.transform(h["values"], lambda v: F.struct(
         v["kind"], v["before"], pseudonym(v["before"], v["kind"], key).alias("after"))).alias("values"))))
-    pieces = F.zip_with(F.split(text, FOUND), "_hits", lambda a, h: F.concat(a, F.coalesce(F.aggregate(
+    pieces = F.zip_with(F.split(text, FOUND), held, lambda a, h: F.concat(a, F.coalesce(F.aggregate(
         h["values"], h["before"], lambda t, v: F.replace(t, v["before"], v["after"])), F.lit(""))))
-    rows = rows.withColumn("_new", F.when(F.size("_hits") > 0, F.array_join(pieces, "")).otherwise(text))
-    return rows.withColumns({out_col: F.col("_new"), "pii": F.flatten(F.transform("_hits", lambda h: h["values"]))}).drop(
-        "_hits", "_new")
+    rows = rows.withColumn(new, F.when(F.size(held) > 0, F.array_join(pieces, "")).otherwise(text))
+    return rows.withColumns({out_col: F.col(new), "pii": F.flatten(F.transform(held, lambda h: h["values"]))}).drop(
+        held, new)
 
 
 @query("op7_pii_pseudonyms")

@@ -26,6 +26,21 @@ def docs(spark):
     return spark.createDataFrame(rows(), SCHEMA).repartition(3)
 
 
+#: Names that operators use for columns of their own for a while.
+TAKEN = ["_judged", "_row", "_found", "_h", "_s", "_b", "_mix", "_cell", "_weight", "_hits", "_new", "_pred", "_known", "_PRED_", "_n", "_f"]
+
+
+def taken(spark):
+    """``docs`` with a column of each of the names in ``TAKEN``."""
+    return docs(spark).select("*", *[F.lit(f"own {n}").alias(n) for n in TAKEN])
+
+
+def keeps_taken(before, after) -> bool:
+    """Whether ``after`` still has every column of ``before`` and the values of ``taken`` in them."""
+    own = [F.count_if(F.col(n) != f"own {n}").alias(n) for n in TAKEN]
+    return after.columns[:len(before.columns)] == before.columns and set(after.select(own).first()) == {0}
+
+
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 

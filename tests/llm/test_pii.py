@@ -105,3 +105,16 @@ def test_long_values(spark):
     texts = ["x@b" + ".c" * 200_000, "write to a@b" + "-c" * 200_000 + ".de now", "+1" + " 234" * 100_000, "4" * 200_000, "1." * 200_000]
     got = run(spark, texts)
     assert got[0][0].endswith("@example.invalid") and got[1][0].endswith("@example.invalid now") and len(got) == 5
+
+
+def test_spellings_of_a_phone_stay_linked(spark):
+    """One number has one pseudonym, however it is written; the country code stays."""
+    spellings = [["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 7946 0958"], ["+1 (980) 555-6268", "+19805556268", "+1.980.555.6268"],
+                 ["+351 21 123 4567", "+351211234567"], ["+7 495 123 4567", "+74951234567"]]
+    got = run(spark, [x for group in spellings for x in group])
+    at = 0
+    for group, code in zip(spellings, ("44", "1", "351", "7")):
+        digits = [re.sub(r"\D", "", got[at + i][1][0][2]) for i in range(len(group))]
+        assert [shape(got[at + i][1][0][2]) for i in range(len(group))] == [shape(x) for x in group]
+        assert len(set(digits)) == 1 and digits[0].startswith(code) and digits[0] != re.sub(r"\D", "", group[0])
+        at += len(group)
