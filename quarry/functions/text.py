@@ -73,16 +73,72 @@ CP1252_HIGH = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•
 C1_CONTROLS = "".join(chr(c) for c in range(0x80, 0xA0))
 
 
+def page_high(page: str) -> str:
+    """The characters of bytes 0x80-0xFF in a code page; a byte without one maps to itself."""
+    return "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in range(0x80, 0x100))
+
+
+LATIN_HIGH = page_high("latin-1")
+#: The pages by which UTF-8 is misread, with the letters that bytes 0xC2-0xC5 become in them. Sequences that these bytes
+#: begin are U+00A0-U+017F, the letters of western and central Europe; a page's other letters begin too much clean text.
+PAGES = {"cp1252": "\u00c2\u00c3\u00c4\u00c5", "cp1250": "\u00c2\u0102\u00c4\u0139"}
+#: Letters that hardly any clean text has before such marks: one damaged character with them is enough.
+STRONG = "\u0102\u0139\u00e2"
+
+
+def _chars(s: str) -> str:
+    """The inside of a Java character class."""
+    return "".join(f"\\x{{{ord(c):X}}}" for c in s)
+
+
+def _bound(c: Column, body) -> Column:
+    """``body`` on a column that is evaluated once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
+def _segments(c: Column, page: str) -> Column:
+    """``c`` with its damaged sequences decoded; ``c`` itself where there is too little evidence of damage."""
+    high, leads = page_high(page), PAGES[page]
+    mark = f"[{_chars(''.join(sorted(set(high[:0x40]) | set(LATIN_HIGH[:0x20]))))}]"  # bytes 0x80-0xBF, also as control characters
+    after = {x: mark for x in leads}
+    after[leads[0]] = f"[{_chars(high[0x20:0x40])}]"  # 0xC2 0x80-0x9F are control characters
+    triple = "\u00e2"  # byte 0xE2 in both pages: dashes, quotes, the euro sign
+    sequence = "|".join([*(f"{_chars(x)}{m}" for x, m in after.items()), f"{_chars(triple)}{mark}{mark}"])
+
+    def damaged(x: Column, begins: Column) -> Column:
+        return (F.length(x) > 1) & F.contains(begins, F.substring(x, 1, 1))
+
+    def decoded(x: Column) -> Column:
+        return F.coalesce(F.try_validate_utf8(F.encode(F.translate(x, high, LATIN_HIGH), "ISO-8859-1").cast("string")), x)
+
+    def repaired(m: Column) -> Column:
+        found = F.filter(m["pieces"], lambda x: damaged(x, m["begins"]))
+        enough = (F.size(found) > 1) | F.exists(found, lambda x: F.contains(F.lit(STRONG), F.substring(x, 1, 1)))
+        return F.when(enough, F.array_join(F.transform(
+            m["pieces"], lambda x: F.when(damaged(x, m["begins"]), decoded(x)).otherwise(x)), ""))
+
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s){sequence}|[^{_chars(leads + triple)}]+|."), F.lit(0))
+    # a letter that also stands without a mark is a letter of this text
+    begins = F.concat(F.lit(triple), *[
+        F.when(F.regexp_count(c, F.lit(_chars(x))) == F.regexp_count(c, F.lit(f"{_chars(x)}{m}")), F.lit(x)).otherwise(F.lit(""))
+        for x, m in after.items()])
+    fixed = _bound(F.struct(pieces.alias("pieces"), begins.alias("begins")), repaired)
+    return F.coalesce(F.when(c.rlike(sequence), fixed), c)
+
+
 def fix_mojibake(c: Column) -> Column:
-    """Repair UTF-8 text that was decoded as Latin-1 or Windows-1252 ('gÄ\x99Å\x9b' or
-    'gÄ™Å›' -> 'gęś').
+    """Repair UTF-8 text that was decoded as Latin-1, Windows-1252 or Windows-1250 ('gÄ\x99Å\x9b', 'gÄ™Å›' or 'gÄ™Ĺ›' -> 'gęś').
 
     Windows-1252 punctuation is first mapped back to its byte value; text whose
     code points then all fit in one byte, with at least one above 0x7F, is
-    re-encoded and kept only if the bytes form valid UTF-8. Anything else is
-    returned unchanged (so 'café' and 'zażółć' stay as they are).
+    re-encoded and kept only if the bytes form valid UTF-8. In any other text the
+    damaged sequences are repaired on their own (sound text beside them stays):
+    those of U+00A0-U+017F and U+2000-U+2FFF, when their first letter never stands
+    without a mark in the text, and when there are two of them or one with a
+    letter of ``STRONG``. So 'café', '„Ä“' and 'PÓŁ' stay as they are.
     """
     bytes_view = F.translate(c, CP1252_HIGH, C1_CONTROLS)
     latin = F.when(bytes_view.rlike("^[\\x00-\\xFF]*$") & bytes_view.rlike("[\\x80-\\xFF]"), bytes_view)
-    repaired = F.try_validate_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
-    return F.coalesce(repaired, c)
+    whole = F.try_validate_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
+    parts = _bound(_segments(c, "cp1252"), lambda t: _segments(t, "cp1250"))
+    return F.coalesce(whole, parts, c)

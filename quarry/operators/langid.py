@@ -16,20 +16,27 @@ text: use it for a gate, not for ranking.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators import joins
 from quarry.session import stage
 
 NGRAM = 3
 MICRO = 1_000_000
+MODEL_CELLS = 8_000_000
+BLOCK = 1 << 20
+
+
+def read_text(c: Column) -> Column:
+    """The text whose n-grams count: lower-cased, newlines as spaces."""
+    return F.lower(F.regexp_replace(c, "\n", " "))
 
 
 def grams(c: Column, n: int = NGRAM) -> Column:
     """Overlapping character n-grams of the lower-cased text (newlines read as spaces)."""
-    s = F.lower(F.regexp_replace(c, "\n", " "))
-    return F.regexp_extract_all(s, F.lit(f"(?s)(?=([^\\x{{D800}}-\\x{{DFFF}}].{{{n - 1}}}))"), 1)
+    return F.regexp_extract_all(read_text(c), F.lit(f"(?s)(?=([^\\x{{D800}}-\\x{{DFFF}}].{{{n - 1}}}))"), 1)
 
 
 def train(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -51,22 +58,73 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> tup
     return stage(model, "langid-model"), stage(priors.drop("total"), "langid-priors")
 
 
+def _packed(codes: np.ndarray) -> np.ndarray:
+    """Each run of three code points as one number."""
+    c = codes.astype(np.int64)
+    return c[:-2] << 42 | c[1:-1] << 21 | c[2:]
+
+
+def _text_sums(text: str, grams: np.ndarray, deltas: np.ndarray) -> tuple[int, np.ndarray]:
+    """(known grams, sum of deltas by language) of one lower-cased text, in blocks of bounded size."""
+    known, sums = 0, np.zeros(deltas.shape[1], dtype=np.int64)
+    for at in range(0, len(text) - NGRAM + 1, BLOCK):
+        found = _packed(np.frombuffer(text[at:at + BLOCK + NGRAM - 1].encode("utf-32-le"), dtype=np.uint32))
+        place = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
+        place = place[grams[place] == found]
+        known += len(place)
+        sums += deltas[place].sum(axis=0)
+    return known, sums
+
+
+def _sums_looked_up(df: DataFrame, dense: DataFrame, n_langs: int, text_col: str, key_col: str) -> DataFrame:
+    """(key, _nk, _s0, ...) by a lookup in the broadcast model: no gram is shuffled, one text is held at a time."""
+    held = dense.toArrow()
+    packed = np.array([_packed(np.frombuffer(g.encode("utf-32-le"), dtype=np.uint32))[0] for g in held.column("gram").to_pylist()], dtype=np.int64)
+    order = np.argsort(packed)
+    deltas = np.array(held.column("d").to_pylist(), dtype=np.int64).reshape(len(packed), n_langs)[order]
+    shared = df.sparkSession.sparkContext.broadcast((packed[order], deltas))
+    rows = df.select(key_col, read_text(F.col(text_col)).alias("_t")).where("_t is not null")
+    names = ["_nk", *(f"_s{i}" for i in range(n_langs))]
+    schema = rows.select(key_col, *[F.lit(0).cast("bigint").alias(c) for c in names]).schema
+
+    def look_up(batches):
+        grams, deltas = shared.value
+        for batch in batches:
+            out = np.zeros((len(names), batch.num_rows), dtype=np.int64)
+            for row, text in enumerate(batch.column("_t")):
+                if len(grams):
+                    out[0, row], out[1:, row] = _text_sums(text.as_py(), grams, deltas)
+            found = pa.RecordBatch.from_arrays([batch.column(key_col), *map(pa.array, out)], names=[key_col, *names])
+            yield found.filter(pa.array(out[0] > 0))
+
+    return rows.mapInArrow(look_up, schema)
+
+
+def _sums_joined(df: DataFrame, dense: DataFrame, n_langs: int, text_col: str, key_col: str) -> DataFrame:
+    """The same by a join, for a model too large to broadcast."""
+    # per (doc, gram) occurrence counts: partial aggregation is local to each document's partition
+    occ = df.select(key_col, F.explode(grams(F.col(text_col))).alias("gram")).groupBy(key_col, "gram").agg(
+        F.count(F.lit(1)).alias("k"))
+    return occ.join(dense, "gram").groupBy(key_col).agg(
+        F.sum("k").alias("_nk"), *[F.sum(F.col("k") * F.col("d")[i]).alias(f"_s{i}") for i in range(n_langs)])
+
+
 def score(df: DataFrame, model: tuple[DataFrame, DataFrame], text_col: str = "text", key_col: str = "doc_id",
-          label_col: str = "label", score_col: str = "score", langs: list[str] | None = None) -> DataFrame:
-    """(key, label, score) for every row whose text has at least one known gram."""
+          label_col: str = "label", score_col: str = "score", langs: list[str] | None = None,
+          model_cells: int = MODEL_CELLS) -> DataFrame:
+    """(key, label, score) for every row whose text has at least one known gram. Keys are unique.
+
+    A model of at most ``model_cells`` numbers (grams by languages, counted; 8 bytes each) is broadcast, a larger one joined.
+    """
     lp_model, priors = model
     # the label set is model metadata (a few hundred values at most)
     lp0 = {r[0]: r[1] for r in priors.collect()}
     if langs is None:
         langs = sorted(lp0)
-    # per (doc, gram) occurrence counts: partial aggregation is local to each document's partition
-    occ = df.select(key_col, F.explode(grams(F.col(text_col))).alias("gram")).groupBy(key_col, "gram").agg(
-        F.count(F.lit(1)).alias("k"))
     dense = lp_model.groupBy("gram").pivot("lang", langs).agg(F.first("delta"))
-    dense = dense.select("gram", F.array(*[F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in langs]).alias("d"))
-    known = joins.join_small(occ, dense, on="gram", how="inner")
-    sums = known.groupBy(key_col).agg(
-        F.sum("k").alias("_nk"), *[F.sum(F.col("k") * F.col("d")[i]).alias(f"_s{i}") for i in range(len(langs))])
+    dense = stage(dense.select("gram", F.array(*[F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in langs]).alias("d")), "langid-dense")
+    small = dense.count() * max(1, len(langs)) <= model_cells
+    sums = (_sums_looked_up if small else _sums_joined)(df, dense, len(langs), text_col, key_col)
     scores = [F.col("_nk") * F.lit(lp0[l]) + F.col(f"_s{i}") for i, l in enumerate(langs)]
     per = sums.select(key_col, F.array(*[F.struct(s.alias("s"), F.lit(l).alias("l")) for s, l in zip(scores, langs)]).alias("_a"))
     best = F.array_max("_a")

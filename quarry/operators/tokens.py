@@ -2,7 +2,7 @@
 
 Tokenizer: words (letter runs), number runs and single symbols, mapped to ids
 through a corpus-trained vocabulary (ids 0-3 reserved: pad, unk, bos, eos).
-A user tokenizer can replace ``tokenize`` as long as it yields ``ids``.
+A user tokenizer can replace it (``tokenize_with``), or any table with ``ids``.
 
 Packing concatenates documents (EOS after each) in seeded-hash order inside a
 bucket and cuts fixed-length chunks. The token offset of each document is an
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import WS_CHARS
-from quarry.operators import sampling
+from quarry.operators import plugins, sampling
 from quarry.plans.options import PackOptions
 from quarry.session import stage
 
@@ -74,6 +74,15 @@ def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: s
     return rows.mapInArrow(look_up, schema)
 
 
+def tokenize_with(df: DataFrame, tokenizer: plugins.Plugin, text_col: str = "text", key_col: str = "doc_id",
+                  out: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, *carry, ids) by a user's tokenizer, in the shape of ``tokenize``; a null text has no ids.
+
+    The ids are the tokenizer's own: ``pack`` and ``collate`` add EOS 3 and pad as asked for.
+    """
+    return df.select(key_col, *carry, plugins.token_ids(tokenizer, F.col(text_col)).alias(out))
+
+
 def ids_sha1(c: Column) -> Column:
     return F.sha1(F.concat_ws(",", c.cast("array<string>")).cast("binary"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from quarry.operators.plugins import Plugin
+
 
 @dataclass(frozen=True)
 class NearDupOptions:
@@ -28,7 +30,7 @@ class PrepareOptions:
     seed: int = 42
     # Language gate. None = no scorer given: the gate keeps everything, which is
     # what the reference does when no language model is supplied.
-    lang_scorer: str | None = None  # None | "columns" | "ngram"
+    lang_scorer: str | Plugin | None = None  # None | "columns" | "ngram" | a user's scorer
     lang_col: str = "lang"
     lang_score_col: str | None = None
     # Planned steps, off unless asked for.

@@ -2,16 +2,17 @@
 
 ``classify`` gives every input row exactly one reason (empty, short, long, lang,
 dup, kept); ``stats`` folds those into the seven counters with one aggregate;
-``prepare`` writes the kept rows as train/val shards.
+``run`` decides the same on narrow rows (``decide``, ``places``) and writes the kept
+texts as train/val shards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import fix_mojibake
-from quarry.operators import dedup, filters, near_links, sampling
+from quarry.operators import dedup, filters, near_links, plugins, sampling
 from quarry.plans.options import PrepareOptions
 from quarry.session import path_exists, stage
 
@@ -23,6 +24,9 @@ def language_ok(df: DataFrame, opts: PrepareOptions, lang_model: DataFrame | Non
     """Resolve the language gate: returns (df with score columns, boolean Column or None)."""
     if opts.lang_scorer is None:
         return df, None
+    if isinstance(opts.lang_scorer, plugins.Plugin):
+        scored = df.withColumn("_lid", plugins.scored(opts.lang_scorer, F.col(text_col)))
+        return scored, filters.lang_gate(F.col("_lid.label"), F.col("_lid.score"), opts.lang, opts.lang_min_score)
     if opts.lang_scorer == "columns":
         score = F.col(opts.lang_score_col) if opts.lang_score_col else None
         return df, filters.lang_gate(F.col(opts.lang_col), score, opts.lang, opts.lang_min_score)
@@ -37,36 +41,48 @@ def language_ok(df: DataFrame, opts: PrepareOptions, lang_model: DataFrame | Non
     raise ValueError(f"unknown lang_scorer {opts.lang_scorer!r}")
 
 
-def classify(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text",
-             key_col: str = "doc_id", lang_model: DataFrame | None = None, staged: bool = True) -> DataFrame:
-    """Add norm_text, n_chars, doc_hash and the first-fail ``reason`` (kept = passed all)."""
+def judged(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text", key_col: str = "doc_id",
+           lang_model: DataFrame | None = None) -> DataFrame:
+    """Add norm_text, n_chars, doc_hash and the ``reason`` of the first check of the row alone that fails (null: none)."""
     if opts.fix_mojibake:
         df = df.withColumn(text_col, fix_mojibake(F.col(text_col)))
     norm = filters.with_normalized(df, text_col=text_col)
     norm = filters.with_prefilter_reason(norm, opts)  # empty / short / long
-    if opts.lang_scorer is not None:
-        # score only rows that passed the cheap checks
-        gated = norm.withColumn("_gate_text", F.when(F.col("reason").isNull(), F.col("norm_text")))
-        gated, ok = language_ok(gated, opts, lang_model, text_col="_gate_text", key_col=key_col)
-        norm = gated.withColumn(
-            "reason", F.when(F.col("reason").isNull() & ~ok, F.lit("lang")).otherwise(F.col("reason"))
-        ).drop("_gate_text", "_lid_label", "_lid_score")
-    if staged:
-        norm = stage(norm, "classified")
+    if opts.lang_scorer is None:
+        return norm
+    # score only rows that passed the cheap checks
+    gated = norm.withColumn("_gate_text", F.when(F.col("reason").isNull(), F.col("norm_text")))
+    gated, ok = language_ok(gated, opts, lang_model, text_col="_gate_text", key_col=key_col)
+    return gated.withColumn(
+        "reason", F.when(F.col("reason").isNull() & ~ok, F.lit("lang")).otherwise(F.col("reason"))
+    ).drop("_gate_text", "_lid", "_lid_label", "_lid_score")
+
+
+def with_duplicates(norm: DataFrame, key_col: str = "doc_id") -> DataFrame:
+    """``judged`` rows, whole or narrow, with the last reasons: dup for later copies of a text, else kept."""
     marked = dedup.mark_duplicates(norm, F.col("reason").isNull(), key_col=key_col)
     return marked.withColumn(
         "reason", F.coalesce(F.col("reason"), F.when(F.col("is_dup"), F.lit("dup")), F.lit("kept"))
     ).drop("is_dup")
 
 
+def classify(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text",
+             key_col: str = "doc_id", lang_model: DataFrame | None = None, staged: bool = True) -> DataFrame:
+    """Add norm_text, n_chars, doc_hash and the first-fail ``reason`` (kept = passed all)."""
+    norm = judged(df, opts, text_col, key_col, lang_model)
+    return with_duplicates(stage(norm, "classified") if staged else norm, key_col)
+
+
+def counters(reasons: tuple[str, ...] = tuple(filters.REASONS)) -> list[Column]:
+    """The aggregates seen, kept, dropped_* over rows with a reason."""
+    r = F.col("reason")
+    return [F.count(F.lit(1)).alias("seen"), F.count_if(r == "kept").alias("kept"),
+            *[F.count_if(r == x).alias(f"dropped_{x}") for x in reasons]]
+
+
 def stats(classified: DataFrame, reasons: tuple[str, ...] = tuple(filters.REASONS)) -> DataFrame:
     """One row: seen, kept, dropped_* (BIGINT). Invariant: seen = kept + sum(dropped_*)."""
-    r = F.col("reason")
-    return classified.agg(
-        F.count(F.lit(1)).alias("seen"),
-        F.count_if(r == "kept").alias("kept"),
-        *[F.count_if(r == x).alias(f"dropped_{x}") for x in reasons],
-    )
+    return classified.agg(*counters(reasons))
 
 
 def quick_stats(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col: str = "text",
@@ -77,11 +93,7 @@ def quick_stats(df: DataFrame, opts: PrepareOptions = PrepareOptions(), text_col
     ``#rows - #distinct fingerprints``, so one scan and one narrow aggregate
     suffice: no staging, no join back.
     """
-    norm = filters.with_prefilter_reason(filters.with_normalized(df, text_col=text_col), opts)
-    if opts.lang_scorer is not None:
-        gated = norm.withColumn("_gate_text", F.when(F.col("reason").isNull(), F.col("norm_text")))
-        gated, ok = language_ok(gated, opts, lang_model, text_col="_gate_text", key_col=key_col)
-        norm = gated.withColumn("reason", F.when(F.col("reason").isNull() & ~ok, F.lit("lang")).otherwise(F.col("reason")))
+    norm = judged(df, opts, text_col, key_col, lang_model)
     r = F.col("reason")
     passed = r.isNull()
     agg = norm.agg(
@@ -102,18 +114,46 @@ def zero_stats(spark) -> DataFrame:
     return spark.createDataFrame([tuple([0] * len(STATS_COLUMNS))], STATS_COLUMNS)
 
 
-def drop_near_duplicates(classified: DataFrame, opts: PrepareOptions, key_col: str = "doc_id") -> DataFrame:
-    """``classified`` with the reason ``near_dup`` for kept rows that a row before them in the order of ``key_col`` stands for.
+def drop_near_duplicates(decided: DataFrame, texts: DataFrame, opts: PrepareOptions, key_col: str = "doc_id") -> DataFrame:
+    """``decided`` with the reason ``near_dup`` for kept rows that a row before them in the order of ``key_col`` stands for.
 
-    The rows are compared under their rank in that order, a number, whatever the type of the key.
+    ``texts``: (key, norm_text). The rows are compared under their rank in that order, a number, whatever the type of the key.
     """
-    kept = classified.where(F.col("reason") == "kept")
-    ranks = stage(sampling.order_rank(kept, [key_col]), "near-ranks")
-    docs = stage(kept.select(key_col, "norm_text").join(ranks, key_col).select("rank", F.col("norm_text").alias("text")), "near-texts")
+    ranks = stage(sampling.order_rank(decided.where(F.col("reason") == "kept"), [key_col]), "near-ranks")
+    docs = stage(texts.select(key_col, "norm_text").join(ranks, key_col).select("rank", F.col("norm_text").alias("text")), "near-texts")
     clusters = near_links.near_dup_clusters(docs, opts.near_dup, "text", "rank")
     gone = clusters.where("rank <> cluster").select("rank").join(ranks, "rank").select(key_col, F.lit(True).alias("_near"))
-    return stage(classified.join(gone, key_col, "left").withColumn(
-        "reason", F.when(F.col("_near"), F.lit("near_dup")).otherwise(F.col("reason"))).drop("_near"), "near-classified")
+    return decided.join(gone, key_col, "left").withColumn(
+        "reason", F.when(F.col("_near"), F.lit("near_dup")).otherwise(F.col("reason"))).drop("_near")
+
+
+def decide(norm: DataFrame, opts: PrepareOptions, key_col: str = "order_key") -> tuple[DataFrame, dict[str, int]]:
+    """(key, doc_hash, source, reason) of staged ``judged`` rows, staged, and the counters.
+
+    Only these columns move; near dedup alone reads texts. The counters are observed while the decisions are written, by the
+    tasks whose output counts: there is no second pass, and a task that runs again is counted once.
+    """
+    decided = with_duplicates(norm.select(key_col, "doc_hash", "source", "reason"), key_col)
+    reasons = tuple(filters.REASONS)
+    if opts.near_dup is not None:
+        decided = drop_near_duplicates(stage(decided, "exact-decisions"), norm, opts, key_col)
+        reasons = (*reasons, "near_dup")
+    seen = Observation("quarry-counters")
+    decided = stage(decided.observe(seen, *counters(reasons)), "decisions")
+    return decided, {c: seen.get[c] for c in ["seen", "kept", *(f"dropped_{r}" for r in reasons)]}
+
+
+def places(decided: DataFrame, opts: PrepareOptions, key_col: str = "order_key") -> DataFrame:
+    """(key, split, shard, rank) of the kept rows, from their keys and fingerprints alone."""
+    kept = kept_rows(decided).select(key_col, "doc_hash", "source")
+    split = sampling.holdout_sources(kept, list(opts.holdout_sources), "doc_hash", opts.seed, opts.val_ratio)
+    if opts.shard_order == "input":
+        placed = sampling.assign_shards_in_order(split, [key_col], opts.shard_size)
+    elif opts.shard_order == "shuffled":
+        placed = sampling.assign_shards(split, "doc_hash", opts.shard_size, opts.seed)
+    else:
+        raise ValueError(f"unknown shard_order {opts.shard_order!r}")
+    return placed.select(key_col, "split", "shard", "rank")
 
 
 def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions(), lang_model=None,
@@ -124,6 +164,9 @@ def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions()
     kept rows {text, source} are written to ``output/split=<train|val>/shard=<n>/``, or, with ``fmt="files"``, to
     ``output/<train|val>/part-0000.jsonl``. With ``opts.near_dup`` the row has ``dropped_near_dup``, too.
     A dry run or a source that does not exist on its file system returns zero counters without reading anything.
+
+    Reasons, splits, ranks and shards are decided on narrow rows; the texts meet their places in one join and are routed
+    to their shards once.
     """
     from pyspark.sql import types as T
 
@@ -135,20 +178,12 @@ def run(spark, source: str, output: str, opts: PrepareOptions = PrepareOptions()
     schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in ("text", "source", *opts.columns)])
     recs = jsonl.scan_jsonl_lenient(spark, source, schema, glob)
     rows = recs.select("order_key", "text", jsonl.default_if_missing("source", "unknown"), *opts.columns)
-    cls = classify(rows, opts, key_col="order_key", lang_model=lang_model)
-    if opts.near_dup is not None:
-        cls = drop_near_duplicates(cls, opts, "order_key")
-    kept = kept_rows(cls).withColumn("text", F.col("norm_text"))
-    split = sampling.holdout_sources(kept, list(opts.holdout_sources), "doc_hash", opts.seed, opts.val_ratio)
-    if opts.shard_order == "input":
-        sharded = sampling.assign_shards_in_order(split, ["order_key"], opts.shard_size)
-    elif opts.shard_order == "shuffled":
-        sharded = sampling.assign_shards(split, "doc_hash", opts.shard_size, opts.seed)
-    else:
-        raise ValueError(f"unknown shard_order {opts.shard_order!r}")
+    norm = stage(judged(rows, opts, key_col="order_key", lang_model=lang_model), "classified")
+    decided, counted = decide(norm, opts)
+    texts = norm.where("reason is null").select("order_key", F.col("norm_text").alias("text"), "source")
+    sharded = texts.join(places(decided, opts), "order_key")
     if fmt == "files":
         shard_files.write_shard_files(sharded, output)
     else:
         sinks.write_shards(sharded, output, fmt=fmt)
-    st = stats(cls, (*filters.REASONS, "near_dup") if opts.near_dup is not None else filters.REASONS)
-    return spark.createDataFrame(st.collect(), st.schema)  # one row
+    return spark.createDataFrame([tuple(counted.values())], list(counted))

@@ -16,11 +16,13 @@ from quarry.operators import evaluate as EV
 from quarry.operators import lm as LM
 from quarry.operators import sampling as SM
 from quarry.operators import tokens as TK
+from quarry.plans import evaluation as EVR
 from quarry.plans import sql as S
 from quarry.plans.q_sampling import kept
 from quarry.plans.q_tokens import tokens_sql
 from quarry.plans.registry import query, table
-from quarry.session import stage
+from quarry.session import stage, staging_dir
+from quarry.sources import jsonl
 
 SEED = 42
 VOCAB = 4096
@@ -45,7 +47,8 @@ def _val_nll(spark, sf_dir, k=K_BASE, corpus=None):
     return LM.nll(ids.where(F.col("split") == "val"), model, N_IDS, k)
 
 
-def _mcqa_rows(spark, sf_dir):
+def _mcqa_items(spark, sf_dir):
+    """(item_id, question, choices, answer_index): four choices an item."""
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
     n = b.agg(F.count(F.lit(1))).scalar()
     h = SM.seeded_hash(SEED, F.col("item_id"))
@@ -57,11 +60,17 @@ def _mcqa_rows(spark, sf_dir):
     picks = ranked.select("item_id", "question", "rot", "r", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j"))
     picks = picks.withColumn("nr", (F.col("r") + F.col("j")) % n)
     tails = ranked.select(F.col("r").alias("nr"), F.col("tail").alias("choice"))
-    rows = picks.join(tails, on="nr").select(
-        "item_id", ((F.col("j") + F.col("rot")) % 4).alias("choice_index"),
-        EV.mcqa_prompt(F.col("question"), F.col("choice")).alias("prompt"))
-    gold = ranked.select("item_id", F.col("rot").alias("gold"))
-    return rows, gold
+    placed = picks.join(tails, on="nr").select("item_id", "question", "rot", F.struct(
+        ((F.col("j") + F.col("rot")) % 4).alias("i"), "choice").alias("c"))
+    return placed.groupBy("item_id").agg(
+        F.first("question").alias("question"), F.transform(F.array_sort(F.collect_list("c")), lambda c: c["choice"]).alias("choices"),
+        F.first("rot").alias("answer_index"))
+
+
+def _mcqa_rows(spark, sf_dir):
+    items = stage(_mcqa_items(spark, sf_dir), "mcqa-items")
+    rows = EV.expand_choices(items).select("item_id", F.col("choice_index").cast("bigint").alias("choice_index"), "prompt")
+    return rows, items.select("item_id", F.col("answer_index").alias("gold"))
 
 
 def _mcqa_scores(spark, sf_dir, k=K_BASE, corpus=None):
@@ -194,6 +203,38 @@ def q_eval_report(spark, sf_dir):
     return rep.select("name", "kind", "metric", F.round("value", 6).alias("value"))
 
 
+@query("eval_suite_files", f"WITH {_lm_cte()}, {_MCQA_CTE}, {_report_cte(K_BASE, 'b')}, rows AS (SELECT name, kind, metric, value, false AS skipped "
+       "FROM rep_b UNION ALL SELECT 'gone', 'multiple_choice', 'accuracy', NULL, true) "
+       "SELECT 'base' AS checkpoint, 'all' AS suite, name, kind, metric, round(value, 6) AS value, skipped FROM rows")
+def q_eval_suite_files(spark, sf_dir):
+    """Held-out texts and multiple-choice items written as JSONL files, then a suite run on them: a text benchmark, a
+    multiple-choice one, one whose file is missing and one of a kind that nobody knows; the written report is read again."""
+    docs = SM.split_train_val(kept(spark, sf_dir), "doc_hash", SEED, 0.05)
+    vocab, _ids, model = _corpus(spark, sf_dir)
+    held = docs.where("split = 'val'").select(F.to_json(F.struct(F.col("norm_text").alias("body"))).alias("value"))
+    items = _mcqa_items(spark, sf_dir).select(F.to_json(F.struct("question", "choices", "answer_index")).alias("value"))
+    text_path, mcqa_path = (jsonl.write_lines(d, staging_dir(spark, n)) for d, n in ((held, "eval-heldout"), (items, "eval-mcqa")))
+    benchmarks = {
+        "heldout_ppl": {"kind": "perplexity", "path": text_path, "text_field": "body", "max_seq_length": None, "glob": "*.txt"},
+        "mcqa": {"kind": "multiple_choice", "path": mcqa_path, "glob": "*.txt"},
+        "gone": {"kind": "multiple_choice", "path": f"{mcqa_path}/none.jsonl"},
+        "odd": {"kind": "generation"}}
+    out = staging_dir(spark, "eval-out")
+    EVR.run(spark, "base", "all", out, {"all": list(benchmarks)}, benchmarks, EVR.lm_scorer(vocab, model, N_IDS, K_BASE))
+    rows = EVR.read_report(spark, out)
+    return rows.select("checkpoint", "suite", "name", "kind", "metric", F.when(~F.isnan("value"), F.round("value", 6)).alias("value"),
+                       F.coalesce(F.col("extra")["skipped"] == 1, F.lit(False)).alias("skipped"))
+
+
+@query("perplexity_file", f"WITH {_lm_cte()}, {_nll_cte(K_BASE)}, ppl AS ({_ppl_select('nll')}) "
+       "SELECT round(exp(loss), 6) AS perplexity, round(loss, 6) AS loss, n_tokens FROM ppl")
+def q_perplexity_file(spark, sf_dir):
+    """The perplexity of the held-out texts written as a JSON document and read again."""
+    path = jsonl.write_lines(EV.perplexity_json(EV.perplexity(_val_nll(spark, sf_dir))), staging_dir(spark, "perplexity-json"))
+    row = spark.read.schema("perplexity double, loss double, n_tokens bigint").json(path)
+    return row.select(*[F.round(c, 6).alias(c) for c in ("perplexity", "loss")], "n_tokens")
+
+
 _CMP_SQL = f"""WITH {_lm_cte()}, {_MCQA_CTE}, {_report_cte(K_BASE, 'b')}, {_report_cte(K_CAND, 'c')}
 SELECT b.name, round(b.value, 6) AS base, round(c.value, 6) AS candidate, round(c.value - b.value, 6) AS delta,
   CASE WHEN b.name = 'heldout_ppl' THEN c.value <= b.value * CAST({1.0 - 0.25!r} AS DOUBLE)

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as TX
 from quarry.operators import dedup, filters
+from quarry.operators.plugins import Plugin
 from quarry.plans import prepare as P
 from quarry.plans import sql as S
 from quarry.plans.options import PrepareOptions
 from quarry.plans.registry import LANG_OPTS, docs_with_edges, query, table
+from quarry.session import staging_dir
+from quarry.sources import jsonl
 
 
 # ---------------------------------------------------------------- preparation
@@ -116,6 +119,51 @@ def q_fix_mojibake(spark, sf_dir):
     return both.select("doc_id", "variant", TX.text_sha1(fixed).alias("text_sha1"), (fixed != F.col("t")).alias("repaired"))
 
 
+_SOUND, _DAMAGED = "\u0141\u00f3d\u017a \u2014 ", " za\u017c\u00f3\u0142\u0107 g\u0119\u015bl\u0105 ja\u017a\u0144"
+
+
+@query("fix_mojibake_mixed", f"SELECT doc_id, page, sha1('{_SOUND}' || text || '{_DAMAGED}') AS text_sha1 FROM documents, "
+       "(SELECT unnest(['cp1250', 'cp1252', 'latin-1', 'none']) AS page)")
+def q_fix_mojibake_mixed(spark, sf_dir):
+    """Every document with sound Polish before it and its own UTF-8 misread by one of three pages (or by none): the damaged
+    parts are repaired, the sound one stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(_DAMAGED)).alias("t"))
+    latin = F.decode(F.encode("t", "UTF-8"), "ISO-8859-1")
+    made = {p: F.translate(latin, TX.LATIN_HIGH, TX.page_high(p)) for p in ("cp1250", "cp1252", "latin-1")} | {"none": F.col("t")}
+    rows = docs.select("doc_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, made)), F.array(*made.values()))).alias("page", "t"))
+    fixed = TX.fix_mojibake(F.concat(F.lit(_SOUND), F.col("t")))
+    return rows.select("doc_id", "page", TX.text_sha1(fixed).alias("text_sha1"))
+
+
+def _ascii_scorer():
+    """Label en for texts of ASCII alone; the score is the share of their blank-separated words with a lower-case word in them."""
+    import pyarrow.compute as pc
+
+    def score(texts):
+        words, lower = pc.count_substring_regex(texts, "[^ ]+"), pc.count_substring_regex(texts, r"\b[a-z]+\b")
+        share = pc.min_element_wise(pc.divide(pc.cast(lower, "double"), pc.cast(words, "double")), 1.0)
+        return pc.if_else(pc.match_substring_regex(texts, r"[^\x00-\x7F]"), "other", "en"), share
+    return score
+
+
+_SCORED = r"CASE WHEN regexp_matches(norm_text, '[^\x00-\x7F]') THEN false ELSE least(len(regexp_extract_all(norm_text, '\b[a-z]+\b')) / len(regexp_extract_all(norm_text, '[^ ]+')), 1.0) >= 0.9 END"
+
+
+@query("prepare_run_scorer", f"""WITH norm AS (SELECT doc_id, {S.normalize('text')} AS norm_text FROM documents),
+pre AS (SELECT doc_id, norm_text, CASE WHEN coalesce(norm_text, '') = '' THEN 'empty' WHEN length(norm_text) < 200 THEN 'short'
+  WHEN length(norm_text) > 200000 THEN 'long' WHEN NOT ({_SCORED}) THEN 'lang' END AS r0 FROM norm),
+win AS (SELECT *, min(CASE WHEN r0 IS NULL THEN doc_id END) OVER (PARTITION BY norm_text) AS first_id FROM pre),
+cls AS (SELECT coalesce(r0, CASE WHEN doc_id = first_id THEN 'kept' ELSE 'dup' END) AS reason FROM win)
+SELECT count(*) AS seen, """ + ", ".join(["count_if(reason = 'kept') AS kept", *(f"count_if(reason = '{r}') AS dropped_{r}" for r in filters.REASONS)])
+       + " FROM cls")
+def q_prepare_run_scorer(spark, sf_dir):
+    """documents written as JSONL files and prepared with a user's scorer as the language gate: the run's counters."""
+    lines = table(spark, sf_dir, "documents").select(F.to_json(F.struct("text", "source")).alias("value"))
+    raw = jsonl.write_lines(lines, staging_dir(spark, "raw-scored"))
+    opts = PrepareOptions(lang="en", lang_scorer=Plugin(_ascii_scorer, "ascii scorer"), lang_min_score=0.9)
+    return P.run(spark, raw, staging_dir(spark, "prepared-scored"), opts, glob="*.txt")
+
+
 @query("default_source", "SELECT doc_id, CASE lang WHEN 'de' THEN 'unknown' WHEN 'es' THEN NULL ELSE source END AS source "
        "FROM documents WHERE lang <> 'fr'")
 def q_default_source(spark, sf_dir):

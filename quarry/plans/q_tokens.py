@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as TX
 from quarry.operators import instructions as INS
 from quarry.operators import tokens as TK
+from quarry.operators.plugins import Plugin
 from quarry.plans import sql as S
 from quarry.plans.options import PackOptions
 from quarry.plans.q_sampling import kept
@@ -96,6 +97,27 @@ def q_pack_sequences(spark, sf_dir):
     return packed.select("bucket", "chunk", "n_tokens", TK.ids_sha1(F.col("tokens")).alias("tokens_sha1"))
 
 
+def _code_points():
+    """A user's tokenizer: the id of a character is its code point and the reserved ids."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def ids(texts):
+        flat = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
+        ends = np.cumsum([0, *pc.utf8_length(texts).to_pylist()], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat + TK.N_RESERVED))
+    return ids
+
+
+@query("pack_user_tokenizer", _PACK_SQL.replace(f"WITH {_VOCAB_CTE},", f"""WITH {S.kept()},
+ids AS (SELECT doc_id, list_transform(regexp_extract_all(norm_text, '(?s).'), lambda c: unicode(c) + {TK.N_RESERVED}) AS ids FROM kept),"""))
+def q_pack_user_tokenizer(spark, sf_dir):
+    """The kept documents packed with the ids of a user's tokenizer."""
+    ids = TK.tokenize_with(_kept_text(spark, sf_dir), Plugin(_code_points, "code points"), "text", "doc_id")
+    return TK.pack(ids, PACK).select("bucket", "chunk", "n_tokens", TK.ids_sha1(F.col("tokens")).alias("tokens_sha1"))
+
+
 _CUE_SQL = "chr(10) || 'Odpowiedz: '"
 
 

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from quarry.operators import evaluate as EV
 from quarry.operators import langid as LI
 from quarry.operators import lm as LM
+from quarry.operators import tokens as TK
+from quarry.plans import evaluation as EVR
 
 
 def test_perplexity_and_empty(spark):
@@ -65,6 +68,73 @@ def test_suite_skips_missing_file_and_unknown_kind(spark, tmp_path):
         EV.run_suite(spark, ["nope"], benchmarks, {})
 
 
+def _files(tmp_path):
+    for name, rows in (("held.jsonl", [{"body": "cat dog cat"}, {"body": ""}, {"body": "dog " * 50}, {"other": "x"}]),
+                       ("mc.jsonl", [{"question": "cat", "choices": ["zzz", "dog"], "answer_index": 1},
+                                     {"question": "cat", "choices": ["dog", "zzz"], "answer_index": 1}])):
+        (tmp_path / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+    return {"ppl": {"path": str(tmp_path / "held.jsonl"), "text_field": "body"},
+            "mc": {"kind": "multiple_choice", "path": str(tmp_path / "mc.jsonl")},
+            "gone": {"kind": "multiple_choice", "path": str(tmp_path / "no.jsonl")}, "odd": {"kind": "generation"}}
+
+
+def test_suite_from_files(spark, tmp_path):
+    """A scorer that costs a text its length, and 100 more where it holds zzz."""
+    benchmarks, seen = _files(tmp_path), []
+
+    def scorer(rows, most):
+        seen.append(most)
+        return rows.select("id", (F.length("text") + 100 * F.contains("text", F.lit("zzz")).cast("int")).alias("nll"), F.lit(1).alias("n_tokens"))
+    out = str(tmp_path / "report")
+    with pytest.warns(UserWarning, match="generation"):
+        report = EVR.run(spark, "ckpt", "all", out, {"all": ["ppl", "mc", "gone", "odd"]}, benchmarks, scorer)
+    rows = {r.name: r for r in report.collect()}
+    assert set(rows) == {"ppl", "mc", "gone"} and seen == [EVR.MAX_SEQ_LENGTH, None]
+    assert rows["ppl"].extra["n_tokens"] == 2 and rows["ppl"].extra["loss"] == pytest.approx((11 + 200) / 2 / 1e6)
+    assert (rows["mc"].value, rows["mc"].extra) == (0.5, {"correct": 1.0, "total": 2.0})
+    assert math.isnan(rows["gone"].value) and rows["gone"].extra == {"skipped": 1.0}
+    back = {r.name: r for r in EVR.read_report(spark, out).collect()}
+    assert set(back) == set(rows) and {(r.checkpoint, r.suite) for r in back.values()} == {("ckpt", "all")}
+    assert back["mc"].extra == rows["mc"].extra and math.isnan(back["gone"].value)
+
+
+def test_unknown_suite_and_benchmark_raise_before_scoring(spark, tmp_path):
+    def scorer(rows, most):
+        raise AssertionError("scored")
+    benchmarks = _files(tmp_path)
+    with pytest.raises(KeyError, match="polish.*known: all"):
+        EVR.run(spark, "c", "polish", str(tmp_path / "o"), {"all": ["ppl"]}, benchmarks, scorer)
+    with pytest.raises(KeyError, match="nope"):
+        EVR.run(spark, "c", "all", str(tmp_path / "o"), {"all": ["ppl", "nope"]}, benchmarks, scorer)
+    assert not (tmp_path / "o").exists()
+
+
+def test_lm_scorer_cuts_at_the_most_tokens(spark):
+    train = spark.createDataFrame([(1, "cat dog cat dog")], "doc_id long, text string")
+    vocab = TK.build_vocab(train, "text", 10)
+    score = EVR.lm_scorer(vocab, LM.train(TK.tokenize(train, vocab)), 14)
+    rows = spark.createDataFrame([(7, "cat dog " * 20), (8, None)], "id long, text string")
+    assert {r.id: r.n_tokens for r in score(rows, 5).collect()} == {7: 6, 8: 1}
+    assert {r.id: r.n_tokens for r in score(rows, None).collect()} == {7: 41, 8: 1}
+
+
+def test_lookup_and_join_agree(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(4, 12) for _ in range(rng.randrange(30))]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    model = LM.train(df.where("doc_id < 20"))
+    one, two = ({tuple(r) for r in LM.nll(df, model, 12, 0.5, model_rows=n).select("doc_id", "nll", "n_tokens").collect()} for n in (10**6, 0))
+    assert one == two and len(one) == 60
+    texts = spark.createDataFrame([(i, "".join(rng.choice("abcde \nŻ\U0001F600") for _ in range(rng.randrange(40)))) for i in range(80)] + [(99, None)],
+                                  "doc_id long, text string")
+    labelled = texts.where("doc_id < 40").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b"))
+    trained = LI.train(labelled)
+    one, two = ({(r.doc_id, r.label, round(r.score, 12)) for r in LI.score(texts, trained, model_cells=n).collect()} for n in (10**6, 0))
+    assert one == two and one
+    plan = LI.score(texts, trained)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no gram is shuffled
+
+
 def test_compare_reports(spark):
     base = spark.createDataFrame([("ppl", 100.0), ("mc", 0.40), ("en", 0.60)], "name string, value double")
     cand = spark.createDataFrame([("ppl", 70.0), ("mc", 0.42), ("en", 0.59)], "name string, value double")

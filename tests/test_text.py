@@ -67,3 +67,30 @@ def test_fix_mojibake(one_col):
     assert one_col(TX.fix_mojibake, latin) == good
     assert one_col(TX.fix_mojibake, cp1252) == ["gęś", "zażółć"]
     assert one_col(TX.fix_mojibake, good) == good
+
+
+def misread(text, page):
+    """UTF-8 bytes read by a page, bytes without a character as themselves."""
+    return "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in text.encode())
+
+
+def test_fix_mojibake_in_mixed_text(one_col):
+    bad = "zażółć gęślą jaźń „cytat”"
+    sound = "Łódź i PÓŁ — "
+    for page in ("latin-1", "cp1252", "cp1250"):
+        assert one_col(TX.fix_mojibake, [sound + misread(bad, page), misread(bad, page)]) == [sound + bad, bad]
+    both = misread("gęś", "cp1252") + " 中 " + misread("łódź", "cp1250")
+    assert one_col(TX.fix_mojibake, [both, None, ""]) == ["gęś 中 łódź", None, ""]
+
+
+def test_fix_mojibake_leaves_sound_text(one_col):
+    sound = ["„Ä“", "PÓŁ RÓŻY SPÓŁKA", "«CAFÉ» 中", "Äpfel „Ä“ und Ä…",
+             "BĂŞESCU Ăsta", "â î ș", "😀 Â"]
+    assert one_col(TX.fix_mojibake, sound) == sound
+    one_letter_alone = "Äpfel, " + misread("gęś ś", "cp1252") + " 中"  # what the sound letter begins stays, the rest is repaired
+    assert one_col(TX.fix_mojibake, [one_letter_alone]) == ["Äpfel, gÄ™ś ś 中"]
+
+
+def test_fix_mojibake_long_texts(one_col):
+    bad = misread("ś", "cp1250")
+    assert one_col(TX.fix_mojibake, ["中" + bad * 200_000, "x" * 300_000 + "Ĺ" * 5]) == ["中" + "ś" * 200_000, "x" * 300_000 + "Ĺ" * 5]
