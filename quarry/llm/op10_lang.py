@@ -21,13 +21,16 @@ n-grams, score 0. Without any labelled text every prediction is ``und``. A null
 doc_id is not trained on and has held_out false. Repeated rows count as often as
 they occur. Extra columns are ignored.
 
-What is broadcast is the filter: SLOTS * 8 bytes for each 64 languages; the
-number of languages is checked against ``MAX_LANGS``.
+The filter's words are built by Spark. ``GROUP`` languages, in the order of their
+names, share one filter of SLOTS * 8 bytes for each 64 of them: that is all that
+the driver holds and what is broadcast. More languages take one pass over the
+texts for each group, and the greatest share of all passes decides.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.registry import fold, fresh, query, table
 from quarry.llm.textops import mix
+from quarry.operators.sampling import order_rank
 from quarry.session import stage
 
 N = 4
@@ -43,7 +47,7 @@ SLOTS = 1 << 20
 HASHES = 3
 FLOOR = 2e-5
 CONTRAST = 0.1
-MAX_LANGS = 1024
+GROUP = 512
 BLOCK = 1 << 20
 FLUSH = 1 << 20
 
@@ -128,7 +132,7 @@ class Filters:
         self.langs, self.rows = langs, rows
         fill = np.array([((rows[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(langs))])
         self.false = fill ** HASHES
-        self.usual = int(np.argmax(totals)) if totals else -1
+        self.usual = langs[int(np.argmax(totals))] if totals else "und"
 
     def hits(self, grams: np.ndarray) -> np.ndarray:
         at = positions(grams, self.rows.shape[1])
@@ -139,65 +143,97 @@ class Filters:
                 counts[64 * word + bit] = int(((mask >> np.uint64(bit)) & np.uint64(1)).sum())
         return counts
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        grams = gram_hashes(text)
-        if not len(grams) or not self.langs:
-            return "und", 0.0
+    def best(self, grams: np.ndarray) -> tuple[str | None, float]:
+        """The language with the greatest corrected share, and the share; none without a hit."""
         share = np.zeros(len(self.langs))
         for at in range(0, len(grams), BLOCK):
             share += self.hits(grams[at:at + BLOCK])
         share = np.maximum(0.0, (share / len(grams) - self.false) / np.maximum(1e-9, 1 - self.false))
         if share.max() <= 0:
-            return self.langs[self.usual], 0.0
-        best = int(np.argmax(share))
-        return self.langs[best], float(min(1.0, share[best]))
+            return None, 0.0
+        first = int(np.argmax(share))
+        return self.langs[first], float(min(1.0, share[first]))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        grams = gram_hashes(text)
+        if not len(grams) or not self.langs:
+            return "und", 0.0
+        lang, share = self.best(grams)
+        return lang or self.usual, share
 
+    def better(self, text: str | None, lang: str, share: float) -> tuple[str, float]:
+        """The answer of this filter where it beats the one of the filters before."""
+        grams = gram_hashes(text)
+        found, more = self.best(grams) if len(grams) else (None, 0.0)
+        return (found, more) if more > share else (lang, share)
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Filters:
-    """Filters from every row of ``labelled`` with a language and a text."""
+
+def _words(kept: DataFrame) -> DataFrame:
+    """(word, slot, bits): the filter's words from (gram, i), gram of language number i."""
+    low = F.lit(SLOTS - 1)
+    step = F.shiftrightunsigned("gram", 32).bitwiseOR(F.lit(1)).bitwiseAND(low)
+    slots = F.array(*[(F.col("gram").bitwiseAND(low) + step * i).bitwiseAND(low) for i in range(HASHES)])
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("i") % 64).cast("int"))
+    return kept.select(F.floor(F.col("i") / 64).cast("bigint").alias("word"), F.explode(slots).alias("slot"), bit.alias("bit")).groupBy(
+        "word", "slot").agg(F.bit_or("bit").alias("bits"))
+
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", group: int = GROUP) -> Iterator[Filters]:
+    """Filters from every row of ``labelled`` with a language and a text, one for each ``group`` (a multiple of 64) languages."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang is not null and text is not null")
     counts = stage(rows.mapInArrow(_count_batches, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")), "lang-grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(totals) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs, sizes = [r.lang for r in totals], [r.total for r in totals]
-    words = max(1, -(-len(langs) // 64))
-    rows = np.zeros((words, SLOTS), dtype=np.uint64)
-    if langs:
-        spark = labelled.sparkSession
-        known = spark.createDataFrame([(l, i, float(t)) for i, (l, t) in enumerate(zip(langs, sizes))],
-                                      "lang string, i int, total double")
-        shared = counts.join(F.broadcast(known), "lang").select(  # MAX_LANGS rows at most
-            "gram", "i", (F.col("n") / F.col("total")).alias("share"))
-        top = shared.groupBy("gram").agg(F.max("share").alias("top"))
-        kept = shared.where(F.col("share") >= FLOOR).join(top, "gram").where(F.col("share") >= CONTRAST * F.col("top"))
-        # at most len(langs) / FLOOR rows of 12 bytes
-        kept = kept.select("gram", "i").toPandas()
-        at = positions(kept["gram"].to_numpy(np.int64).view(np.uint64))
-        lang = kept["i"].to_numpy(np.int64)
-        for place in at:
-            np.bitwise_or.at(rows, (lang // 64, place), np.uint64(1) << (lang % 64).astype(np.uint64))
-    return Filters(langs, rows, sizes)
-
-
-def predict(docs: DataFrame, filters: Filters, text_col: str = "text", pred_col: str = "lang_pred",
-            score_col: str = "score") -> DataFrame:
-    """``docs`` with a predicted language and its score in two more columns."""
+    totals = stage(counts.groupBy("lang").agg(F.sum("n").alias("total")), "lang-totals")
+    numbered = stage(totals.join(order_rank(totals, ["lang"], out="i"), "lang"), "lang-numbers")
+    shared = counts.join(numbered, "lang").select("gram", "i", (F.col("n") / F.col("total")).alias("share"))
+    top = shared.groupBy("gram").agg(F.max("share").alias("top"))
+    kept = shared.where(F.col("share") >= FLOOR).join(top, "gram").where(F.col("share") >= CONTRAST * F.col("top"))
+    words = stage(_words(kept.select("gram", "i")), "lang-words")
+    usual = numbered.agg(F.max(F.struct("total", -F.col("i"), "lang")).alias("m")).first().m
+    for first in range(0, max(1, numbered.count()), group):
+        held = numbered.where(F.col("i").between(first, first + group - 1)).orderBy("i").collect()  # ``group`` rows at most
+        bits = np.zeros((max(1, -(-len(held) // 64)), SLOTS), dtype=np.uint64)
+        mine = words.where(F.col("word").between(first // 64, first // 64 + len(bits) - 1)).toArrow()  # SLOTS rows a word at most
+        word, slot, value = (mine.column(c).to_numpy() for c in ("word", "slot", "bits"))
+        bits[word.astype(np.int64) - first // 64, slot.astype(np.int64)] = value.astype(np.int64).view(np.uint64)
+        found = Filters([r.lang for r in held], bits, [r.total for r in held])
+        if usual is not None:
+            found.usual = usual.lang
+        yield found
+
+
+def _pass(docs: DataFrame, filters: Filters, text_col: str, pred_col: str, score_col: str, first: bool) -> DataFrame:
+    """``docs`` with the prediction of one filter, or with the better one of it and the columns' own."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    schema = docs.select("*", F.lit("").alias(pred_col), F.lit(0.0).alias(score_col)).schema
+    schema = docs.select("*", F.lit("").alias(pred_col), F.lit(0.0).alias(score_col)).schema if first else docs.schema
 
     def apply(batches):
         for batch in batches:
-            found = [shared.value.predict(t) for t in batch.column(text_col).to_pylist()]
+            texts = batch.column(text_col).to_pylist()
+            if first:
+                columns, names = list(batch.columns), list(batch.schema.names)
+                found = [shared.value.predict(t) for t in texts]
+            else:
+                columns, names = list(batch.columns[:-2]), list(batch.schema.names[:-2])
+                found = [shared.value.better(*row) for row in zip(texts, batch.column(pred_col).to_pylist(), batch.column(score_col).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())], names=[*batch.schema.names, pred_col, score_col])
+                [*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=[*names, pred_col, score_col])
 
     return docs.mapInArrow(apply, schema)
 
 
+def predict(docs: DataFrame, filters: Iterable[Filters], text_col: str = "text", pred_col: str = "lang_pred",
+            score_col: str = "score") -> DataFrame:
+    """``docs`` with a predicted language and its score in two more columns."""
+    for at, each in enumerate(filters):
+        if at:
+            docs = stage(docs, "lang-pass")  # the filter of the pass before is no longer needed
+        docs = _pass(docs, each, text_col, pred_col, score_col, at == 0)
+    return docs
+
+
 def identify(docs: DataFrame, key_col: str = "doc_id") -> DataFrame:
     """(doc_id, held_out, lang_pred, score), trained on the rows whose fold is not 2."""
     filters = train(docs.where(fold(key_col) != 2))

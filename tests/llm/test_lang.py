@@ -74,3 +74,28 @@ def test_keep_identified(spark):
     junk = docs.limit(1).select(F.lit(-2).cast("bigint").alias("doc_id"), F.lit("xqzj wvkf " * 40).alias("text"), F.lit(None).alias("lang"), "score")
     kept = G.keep_identified(docs.union(more).union(junk))
     assert kept.columns == docs.columns and edge.count(kept) == edge.count(docs)
+
+
+def test_words_of_spark_are_the_positions(spark):
+    rng = np.random.default_rng(5)
+    grams = rng.integers(-2**63, 2**63 - 1, 300)
+    rows = [(int(g), int(i)) for i, g in enumerate(grams)]
+    got = {(r.word, r.slot): r.bits for r in G._words(spark.createDataFrame(rows, "gram bigint, i bigint")).collect()}
+    want = {}
+    for g, i in rows:
+        for slot in G.positions(np.array([g], dtype=np.int64).view(np.uint64))[:, 0]:
+            want[i // 64, int(slot)] = want.get((i // 64, int(slot)), 0) | 1 << (i % 64)
+    assert {k: v % 2**64 for k, v in got.items()} == want
+
+
+def test_languages_beyond_one_group(spark):
+    """2,000 languages of one word each (an invented language has an own alphabet of syllables), in groups of 64 and of 512."""
+    rng = random.Random(9)
+    own = {f"l{i:04d}": "".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(12)) for i in range(2000)}
+    docs = spark.createDataFrame([(i, t, l) for i, (l, t) in enumerate(own.items())] + [(-1, "12", None), (-2, "qqqq", None)],
+                                 "doc_id bigint, text string, lang string")
+    few = docs.where("doc_id < 130")
+    for rows, group in ((few, 64), (few, G.GROUP), (docs, G.GROUP)):
+        got = {r.doc_id: (r.lang, r.lang_pred, r.score) for r in G.predict(rows, G.train(rows, group=group)).collect()}
+        assert got.pop(-1)[1:] == ("und", 0.0) and got.pop(-2)[1:] == ("l0000", 0.0)  # all languages have the same number of n-grams
+        assert all(lang == pred and score > 0.9 for lang, pred, score in got.values()) and len(got) == rows.count() - 2
