@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import numpy as np
+
 from quarry.operators import evaluate as EV
 from quarry.operators import langid as LI
 from quarry.operators import lm as LM
@@ -162,3 +164,30 @@ def test_bigram_lm(spark):
     # pairs: (2,4) c=2 cv=2; (4,5) c=2 cv=2; (5,3) c=1 cv=2 -> p = 3/9, 3/9, 2/9
     expect = sum(round(-math.log(p) * 1e6) for p in (3 / 9, 3 / 9, 2 / 9))
     assert (sc.nll, sc.n_tokens) == (expect, 3)
+
+
+def test_langid_counts_in_tasks(spark):
+    import collections
+
+    rows = [("a", "Abc\nabc \U0001F600xy"), ("b", "abcabc"), ("a", "ab"), (None, "abcd"), ("b", None), ("c", ""), ("a", "zażółć " * 50)]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    want = collections.Counter((l, t.lower().replace("\n", " ")[i:i + 3]) for l, t in rows if l and t for i in range(len(t) - 2))
+    totals = {l: sum(c for (k, _), c in want.items() if k == l) for l in "ab"}
+    v = len({g for _, g in want})
+    for held in (1, LI.HELD):
+        model, priors = LI.train(df, held=held)
+        lp = {(l, g): round(math.log((c + 1) / (totals[l] + v)) * 1e6) for (l, g), c in want.items()}
+        assert {(r.lang, r.gram): r.lp for r in model.collect()} == lp
+        assert {r.lang: r.lp0 for r in priors.collect()} == {l: round(math.log(1 / (n + v)) * 1e6) for l, n in totals.items()}
+
+
+def test_langid_places_by_table_and_by_search(monkeypatch):
+    text = "zażółć gęślą \U0001F600 jaźń abcabc"
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    grams = np.unique(LI._packed(codes[:20]))
+    table = LI._Places(grams)
+    monkeypatch.setattr(LI, "TABLE", 0)
+    search = LI._Places(grams)
+    assert table.table is not None and search.table is None
+    want = [int(np.searchsorted(grams, g)) for g in LI._packed(codes) if g in grams]
+    assert table.of(codes).tolist() == search.of(codes).tolist() == want
