@@ -21,7 +21,7 @@ from quarry.session import stage
 
 MICRO = 1_000_000
 MODEL_ROWS = 4_000_000
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 
 
 def _pairs(df: DataFrame, key_col: str, ids_col: str) -> DataFrame:
@@ -68,13 +68,13 @@ def _looked_up(df: DataFrame, model: tuple[DataFrame, DataFrame], n_ids: int, k:
         bigrams, contexts = shared.value
         for batch in batches:
             lists = batch.column("_ids")
-            flat, offsets = lists.flatten().to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+            flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
             offsets = offsets - offsets[0]
             total, sizes = np.zeros(batch.num_rows, dtype=np.int64), np.diff(offsets) + 1
             lo = 0
             while lo < batch.num_rows:  # rows of about BLOCK ids at a time
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BLOCK, side="right")) - 1)
-                ids, at = flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+                ids, at = flat[offsets[lo]:offsets[hi]].astype(np.int64), offsets[lo:hi + 1] - offsets[lo]
                 v, w = np.insert(ids, at[:-1], BOS), np.insert(ids, at[1:], EOS)
                 terms = _terms(count(bigrams, v << 32 | w), count(contexts, v), n_ids, k)
                 total[lo:hi] = np.add.reduceat(terms, at[:-1] + np.arange(hi - lo))

@@ -13,6 +13,8 @@ bucket's token arrays; every chunk group holds at most ``seq_len`` tokens.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,7 @@ from quarry.session import stage
 # Reserved ids.
 PAD, UNK, BOS, EOS = 0, 1, 2, 3
 N_RESERVED = 4
+SLICE = 1 << 18  # list items that a task works on at a time
 TOKEN_RE = f"\\p{{L}}+|\\p{{N}}+|[^\\p{{L}}\\p{{N}}{WS_CHARS}]"
 
 
@@ -48,6 +51,16 @@ def build_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 32_000)
     return stage(top.withColumn("id", (F.row_number().over(w) + (N_RESERVED - 1)).cast("int")), "vocab")
 
 
+def list_slices(batch: pa.RecordBatch, col: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows of about ``limit`` list items of ``col``; a longer list is a run of its own."""
+    offsets = batch.column(col).offsets.to_numpy()
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
+        yield batch.slice(lo, min(hi, batch.num_rows) - lo)
+        lo = hi
+
+
 def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: str = "doc_id",
              out: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, *carry, ids): ``ids`` is array<int> in document token order, unknown tokens -> 1.
@@ -64,12 +77,13 @@ def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: s
     def look_up(batches):
         tokens, ids = shared.value
         for batch in batches:
-            lists = batch.column("_t")
-            at = pc.index_in(lists.flatten(), value_set=tokens)
-            found = np.where(at.is_valid().to_numpy(zero_copy_only=False), ids[at.fill_null(0).to_numpy()] if len(ids) else UNK, UNK)
-            offsets = lists.offsets.to_numpy()
-            made = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(found, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (key_col, *carry)), made], names=[key_col, *carry, out])
+            for part in list_slices(batch, "_t"):
+                lists = part.column("_t")
+                at = pc.index_in(lists.flatten(), value_set=tokens)
+                found = np.where(at.is_valid().to_numpy(zero_copy_only=False), ids[at.fill_null(0).to_numpy()] if len(ids) else UNK, UNK)
+                offsets = lists.offsets.to_numpy()
+                made = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(found, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in (key_col, *carry)), made], names=[key_col, *carry, out])
 
     return rows.mapInArrow(look_up, schema)
 

@@ -124,3 +124,13 @@ def test_collate_pads_to_the_longest_of_a_batch(spark):
         assert r.labels == [t if m else -100 for t, m in zip(ids, mask)] + [-100] * gap
     assert {r.input_ids[-1] for r in TK.collate(df, 4, "id", pad_id=0).collect() if 0 in r.attention_mask} == {0}
     assert TK.collate(df.limit(0), 4, "id").collect() == []
+
+
+def test_token_lists_are_looked_up_in_slices():
+    import pyarrow as pa
+
+    lists = [["a"] * n for n in (3, 0, 4, 9, 1, 1, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array([["x"], *lists])], names=["k", "t"]).slice(1)
+    parts = list(TK.list_slices(batch, "t", 5))
+    assert [p.column("t").to_pylist() for p in parts] == [lists[:2], lists[2:3], lists[3:4], lists[4:]]
+    assert sum((p.column("k").to_pylist() for p in parts), []) == list(range(1, 8))
