@@ -7,8 +7,12 @@ on top). Column names are identical between a query and its oracle SQL.
 
 from __future__ import annotations
 
+import codecs
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import text as TX
 from quarry.operators import dedup, filters
@@ -119,6 +123,14 @@ def q_fix_mojibake(spark, sf_dir):
     return both.select("doc_id", "variant", TX.text_sha1(fixed).alias("text_sha1"), (fixed != F.col("t")).alias("repaired"))
 
 
+@F.pandas_udf(T.StringType())
+def _misread(texts: pd.Series, pages: pd.Series) -> pd.Series:
+    """Texts with their UTF-8 bytes read by a code page, a byte without a character as itself; as they are for the page none."""
+    tables = {p: "".join(map(chr, range(0x80))) + TX.page_high(p) for p in pages.unique() if p != "none"}
+    return pd.Series([t if t is None or p == "none" else codecs.charmap_decode(t.encode(), "strict", tables[p])[0]
+                      for t, p in zip(texts, pages)], dtype=object)
+
+
 _SOUND, _DAMAGED = "\u0141\u00f3d\u017a \u2014 ", " za\u017c\u00f3\u0142\u0107 g\u0119\u015bl\u0105 ja\u017a\u0144"
 
 
@@ -128,9 +140,8 @@ def q_fix_mojibake_mixed(spark, sf_dir):
     """Every document with sound Polish before it and its own UTF-8 misread by one of three pages (or by none): the damaged
     parts are repaired, the sound one stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(_DAMAGED)).alias("t"))
-    latin = F.decode(F.encode("t", "UTF-8"), "ISO-8859-1")
-    made = {p: F.translate(latin, TX.LATIN_HIGH, TX.page_high(p)) for p in ("cp1250", "cp1252", "latin-1")} | {"none": F.col("t")}
-    rows = docs.select("doc_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, made)), F.array(*made.values()))).alias("page", "t"))
+    pages = F.array(*map(F.lit, ["cp1250", "cp1252", "latin-1", "none"]))
+    rows = docs.select("doc_id", F.explode(pages).alias("page"), "t").select("doc_id", "page", _misread("t", "page").alias("t"))
     fixed = TX.fix_mojibake(F.concat(F.lit(_SOUND), F.col("t")))
     return rows.select("doc_id", "page", TX.text_sha1(fixed).alias("text_sha1"))
 

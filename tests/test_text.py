@@ -1,5 +1,7 @@
 """Normalization, filters, fingerprints, mojibake."""
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from quarry.functions import text as TX
@@ -91,6 +93,37 @@ def test_fix_mojibake_leaves_sound_text(one_col):
     assert one_col(TX.fix_mojibake, [one_letter_alone]) == ["Äpfel, gÄ™ś ś 中"]
 
 
+def test_fix_mojibake_is_one_arrow_call(spark):
+    """Each repair is one Arrow call on the rows with other than ASCII, not regular expressions nested in lambdas."""
+    plan = spark.range(1).select(TX.fix_mojibake(F.col("id").cast("string")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan and "translate" not in plan
+
+
+def test_fix_mojibake_broken_utf8_and_controls(spark):
+    rows = spark.sql("select decode(x, 'ISO-8859-1') t from values (x'C485'), (x'41C485E2'), (x'E28094'), (x'7F'), (x'C3') as v(x)")
+    assert [r[0] for r in rows.select(TX.fix_mojibake(F.col("t"))).collect()] == ["\u0105", "A\u00c4\x85\u00e2", "\u2014", "\x7f", "\u00c3"]
+    raw = spark.sql("select cast(x'61C3FF' as string) t").select(TX.fix_mojibake(F.col("t")).cast("binary").alias("t"))
+    assert bytes(raw.first().t) == b"a\xc3\xff"
+
+
+def test_blank_like_every_run_replaced(spark):
+    texts = [None, "", " ", "  ", "a b", " a", "\u3000", "a\u3000 b\xa0", "\n\n", "\x1c x", "\u00e9", "\t\x85 \u2028"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert rows.where((F.coalesce(F.regexp_replace("t", TX.WS_RUN, ""), F.lit("")) == "") != TX.is_blank(F.col("t"))).collect() == []
+    assert [r.t for r in rows.where(~TX.is_blank(F.col("t"))).collect()] == ["a b", " a", "a\u3000 b\xa0", "\x1c x", "\u00e9"]
+
+
+def test_nfc_gate_is_a_plain_class_and_loses_nothing(spark):
+    """The complement of a class is far slower to search for; every character that NFC changes must pass the gate."""
+    assert not TX.NFC_GATE.startswith("[^")
+    rows = spark.range(0x110000).where("id not between 55296 and 57343").select("id", F.expr(
+        "decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("t"))
+    passed = {r.id for r in rows.where(F.col("t").rlike(TX.NFC_GATE)).select("id").collect()}
+    assert passed >= {i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and unicodedata.normalize("NFC", chr(i)) != chr(i)}
+    old = [*range(0x300), *range(0x2002, 0x2070), *range(0x20A0, 0x20D0)]
+    assert passed == set(range(0x110000)) - set(range(0xD800, 0xE000)) - set(old)
+
+
 def test_fix_mojibake_long_texts(one_col):
     bad = misread("ś", "cp1250")
     assert one_col(TX.fix_mojibake, ["中" + bad * 200_000, "x" * 300_000 + "Ĺ" * 5]) == ["中" + "ś" * 200_000, "x" * 300_000 + "Ĺ" * 5]
