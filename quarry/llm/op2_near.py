@@ -14,16 +14,20 @@ form components, of which the smallest doc_id stays.
    Links merge components, and a node whose members are all of one component is
    done: no pair in it can change the result. In what is left, a node of at most
    ``SMALL`` documents, or with at most ``SMALL`` outside its main component, is
-   compared exhaustively between components. The documents of the others meet
-   once more, by an exact prefix-filter join: shingles are ordered by rarity
-   (counted over these documents in ``BUCKETS`` hash buckets), and documents at
-   the threshold share one of the first ``n - ceil(t n) + 1``. Each such shingle
-   is a node, compared in the same way, and with a positional filter, whatever
-   its size; so the recall of the roots is that of the whole.
+   compared exhaustively between components. The documents of the others go two
+   levels down at once: each goes to the nodes of ``pairs_for`` pairs of further
+   minwise tokens, so that a text that many documents have in common keeps
+   together the square of its share of them. Nodes that stay large are ended by an
+   exact prefix-filter join: shingles are ordered by rarity (counted over their
+   documents in ``BUCKETS`` hash buckets), and documents at the threshold share one
+   of the first ``n - ceil(t n) + 1``. Each such shingle is a node, compared in the
+   same way, and with a positional filter, whatever its size. Where the threshold
+   asks for more tokens than ``COORDS``, the prefix join follows the roots.
 4. Candidates must pass the size filter (exact) and a filter on 64 one-bit
    minwise tokens (``bits_apart``, from the threshold: a pair there fails it with
    a probability below 1e-9), then the Hamming distance of parity sketches
-   (exact). What is left is verified on the full sets (``pairs``); ids are
+   (exact), inside the exhaustive comparison of a node and before any pair is
+   written. What is left is verified on the full sets (``pairs``); ids are
    broadcast up to ``ID_ROWS`` rows (counted) and joined by a shuffle beyond.
 
 Edge cases: a text without words, or null, has the empty set and is linked with
@@ -66,6 +70,11 @@ def trees_for(recall: float, num: int, den: int) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - num / den) / BRANCH))
 
 
+def pairs_for(recall: float, num: int, den: int) -> int:
+    """Pairs of minwise tokens so that documents at the threshold have one in common with probability ``recall``."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - (num / den) ** 2)))
+
+
 def _minwise(sets: list[np.ndarray]) -> np.ndarray:
     """COORDS minwise tokens of each non-empty set."""
     flat = np.concatenate(sets)
@@ -154,7 +163,6 @@ def _prefix_batches(shared, num: int, den: int):
 
 def _prefixes(ids: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """(node, id, n, bits, pos): the rarest shingles of the documents ``ids`` (id, n, bits), enough to share one with any linked one."""
-    ids = stage(ids, "path-large")
     if ids.count() <= ID_ROWS:
         ids = F.broadcast(ids)
     texts = docs.withColumnRenamed("doc_id", "id").join(ids, "id").select("id", "n", "bits", "text")
@@ -165,6 +173,13 @@ def _prefixes(ids: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     return texts.mapInArrow(_prefix_batches(shared, num, den), "node bigint, id bigint, n bigint, bits bigint, pos bigint")
 
 
+def _token_pairs(ids: DataFrame, reps: DataFrame, first: int, count: int) -> DataFrame:
+    """(node, id, n, bits, pos): a node for each of ``count`` pairs of minwise tokens, from coordinate ``first``, of the documents ``ids``."""
+    sig = reps.select(F.col("doc_id").alias("id"), "n", "bits", F.slice("sig", first + 1, 2 * count).alias("sig")).join(ids, ["id", "n", "bits"])
+    nodes = F.array(*[F.xxhash64(F.lit(-1 - k), F.get("sig", F.lit(2 * k)), F.get("sig", F.lit(2 * k + 1))) for k in range(count)])
+    return sig.select(F.explode(nodes).alias("node"), "id", "n", "bits", F.lit(0).cast("bigint").alias("pos"))
+
+
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with the label of their id: the component it is in so far, else itself."""
     return rows.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
@@ -189,21 +204,27 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
 
     ``reps``: doc_id, n, bits, sig, sketch. ``docs``: doc_id, text.
     """
-    roots = min(trees_for(recall, num, den) * BRANCH, COORDS)
+    missed = (1 - recall) / 2  # at the roots and one level down, each
+    roots = min(trees_for(1 - missed, num, den) * BRANCH, COORDS)
+    couples = pairs_for(1 - missed, num, den)
     rows = reps.select(
         F.posexplode(F.slice("sig", 1, roots)).alias("_c", "_token"), F.col("doc_id").alias("id"), "n", "bits"
     ).select(F.xxhash64("_c", "_token").alias("node"), "id", "n", "bits", F.lit(0).cast("bigint").alias("pos"), F.col("id").alias("label"))
     labels = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
 
-    sketches = reps.select(F.col("doc_id").alias("id"), "n", F.col("sketch").alias("bits"))
+    sketches = reps.select(F.col("doc_id").alias("id"), "n", "bits", "sketch")
 
-    def verified(candidates: DataFrame) -> DataFrame | None:
-        """Those of the candidates that are links; None without any."""
-        candidates = stage(pairs.sifted(stage(candidates, "path-pairs"), sketches, num, den), "path-pairs")
+    def confirmed(candidates: DataFrame) -> DataFrame | None:
+        """Those of the staged candidates that are links; None without any."""
         edges = None if candidates.isEmpty() else pairs.verified(candidates, docs, WIDTH, num, den)
         return None if edges is None or edges.isEmpty() else edges
 
-    for exact in (False, True):
+    def verified(candidates: DataFrame) -> DataFrame | None:
+        """The same, for candidates that no sketch has sifted yet."""
+        return confirmed(stage(pairs.sifted(stage(candidates, "path-pairs"), sketches.select("id", "n", "sketch"), num, den), "path-pairs"))
+
+    for level in ("roots", "pairs", "prefixes") if roots + 2 * couples <= COORDS else ("roots", "prefixes"):
+        exact = level == "prefixes"
         nodes = rows.groupBy("node").agg(
             F.min(F.struct("id", "n", "bits", "pos")).alias("p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")
         ).where("_lo <> _hi").select("node", "p")
@@ -228,19 +249,23 @@ def links(reps: DataFrame, docs: DataFrame, num: int, den: int, recall: float =
         if left.isEmpty():
             return labels
         solved = F.lit(exact) | (F.col("size") <= small) | (F.col("size") - F.col("main.m") <= small)
-        few = left.where(solved)
+        few = stage(left.where(solved).join(sketches, ["id", "n", "bits"]), "path-few")
         others = few.where(F.col("label") != F.col("main.label"))
         a, b = others.alias("a"), few.alias("b")
-        few_pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-                       & _near("a", "b", num, den)).select(
+        few_pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & _near("a", "b", num, den)
+                           & pairs.may_link(F.col("a.n"), F.col("b.n"), pairs.apart("a.sketch", "b.sketch"), num, den)).select(
             F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
-        edges = verified(few_pairs)
+        edges = confirmed(stage(few_pairs, "path-pairs"))
         labels = labels if edges is None else _merged(labels, edges)
         many = left.where(~solved)
         if exact or many.isEmpty():
             return labels
-        large = _prefixes(many.select("id", "n", "bits").distinct(), docs, num, den)
-        rows = stage(_labelled(large.withColumn("label", F.col("id")), labels), "path-prefixes")
+        large = stage(many.select("id", "n", "bits").distinct(), "path-large")
+        if level == "roots" and roots + 2 * couples <= COORDS:
+            large = _token_pairs(large, reps, roots, couples)
+        else:
+            large = _prefixes(large, docs, num, den)
+        rows = stage(_labelled(large, labels), "path-deeper")
 
 
 def components(docs: DataFrame, num: int = 85, den: int = 100, recall: float = 0.999999, small: int = SMALL,

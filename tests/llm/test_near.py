@@ -97,3 +97,33 @@ def test_links_inside_a_large_unlinked_group(spark, num, changed):
     rows = list(enumerate(texts))
     assert sum(d != c for d, (_, c) in brute(rows, num, 100).items()) == 100  # the pairs, and no other link
     check(spark, rows, num=num, small=2)
+
+
+def staged_rows(monkeypatch):
+    """{name: rows of each table that op2 stages under it}, filled while it runs."""
+    sizes, stage = {}, op2_near.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(op2_near, "stage", counted)
+    return sizes
+
+
+def test_no_pairs_of_a_large_unlinked_group(spark, monkeypatch):
+    """Of 120 texts that share 166 of 200 shingles, only pairs that may be links are written, not all 7,140."""
+    sizes, shared = staged_rows(monkeypatch), [f"p{i}" for i in range(170)]
+    texts = [" ".join(shared + [f"o{k}_{i}" for i in range(34)]) for k in range(120)]
+    check(spark, list(enumerate(texts)), small=256)
+    assert max(sizes["path-pairs"]) <= 8 * len(texts)
+
+
+def test_large_nodes_take_few_rows_down(spark, monkeypatch):
+    """Texts that share a tenth of their shingles leave their large nodes by pairs of tokens, some rows each."""
+    sizes, shared = staged_rows(monkeypatch), [f"p{i}" for i in range(44)]
+    texts = [" ".join(shared + [f"o{k}_{i}" for i in range(360)]) for k in range(40)]
+    check(spark, list(enumerate(texts)), small=2)
+    first, *_ = sizes["path-deeper"]
+    assert first <= op2_near.pairs_for(0.9999995, 85, 100) * len(texts)
