@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.text import WS_CHARS
 from quarry.operators import plugins, sampling
@@ -37,13 +38,21 @@ def token_strings(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN_RE), 0)
 
 
+def _tokens_of(df: DataFrame, col: str) -> Column:
+    """The tokens of a text column; a column of token arrays, split before, is taken as it is."""
+    if isinstance(df.schema[col].dataType, T.ArrayType):
+        return F.col(col)
+    return token_strings(F.col(col))
+
+
 def build_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 32_000) -> DataFrame:
     """(token, id, count): the ``vocab_size`` most frequent tokens, ties by token; ids from 4.
 
+    ``text_col`` holds texts, or their tokens (``token_strings``) where those serve more than one step.
     The top-k merge keeps at most vocab_size rows per partition, and the id
     window runs over those vocab_size rows only.
     """
-    counts = df.select(F.explode(token_strings(F.col(text_col))).alias("token")).groupBy("token").agg(
+    counts = df.select(F.explode(_tokens_of(df, text_col)).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("count"))
     top = counts.orderBy(F.col("count").desc(), F.col("token")).limit(vocab_size)
     w = Window.orderBy(F.col("count").desc(), F.col("token"))
@@ -71,7 +80,7 @@ def tokenize(df: DataFrame, vocab: DataFrame, text_col: str = "text", key_col: s
     """
     held = vocab.select("token", "id").toArrow()
     shared = df.sparkSession.sparkContext.broadcast((held.column("token").combine_chunks(), held.column("id").to_numpy()))
-    rows = df.select(key_col, *carry, token_strings(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
+    rows = df.select(key_col, *carry, F.coalesce(_tokens_of(df, text_col), F.array().cast("array<string>")).alias("_t"))
     schema = df.select(key_col, *carry, F.array().cast("array<int>").alias(out)).schema
 
     def look_up(batches):

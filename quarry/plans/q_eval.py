@@ -35,9 +35,11 @@ TARGETS = {"heldout_ppl": ("rel_drop", 0.25), "mcqa": ("min_gain", 0.03)}
 # ---------------------------------------------------------------- Spark side
 
 def _corpus(spark, sf_dir):
-    sp = SM.split_train_val(kept(spark, sf_dir), "doc_hash", SEED, 0.05).select("doc_id", "norm_text", "split")
-    vocab = TK.build_vocab(sp.where(F.col("split") == "train"), "norm_text", VOCAB)
-    ids = stage(TK.tokenize(sp, vocab, "norm_text", "doc_id", carry=("split",)), "ids")
+    sp = SM.split_train_val(kept(spark, sf_dir), "doc_hash", SEED, 0.05)
+    # the texts are joined with their duplicates and split into tokens once, for the vocabulary and the ids
+    sp = stage(sp.select("doc_id", TK.token_strings(F.col("norm_text")).alias("tokens"), "split"), "tokens")
+    vocab = TK.build_vocab(sp.where(F.col("split") == "train"), "tokens", VOCAB)
+    ids = stage(TK.tokenize(sp, vocab, "tokens", "doc_id", carry=("split",)), "ids")
     model = LM.train(ids.where(F.col("split") == "train"))
     return vocab, ids, model
 

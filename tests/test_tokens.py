@@ -134,3 +134,13 @@ def test_token_lists_are_looked_up_in_slices():
     parts = list(TK.list_slices(batch, "t", 5))
     assert [p.column("t").to_pylist() for p in parts] == [lists[:2], lists[2:3], lists[3:4], lists[4:]]
     assert sum((p.column("k").to_pylist() for p in parts), []) == list(range(1, 8))
+
+
+def test_tokens_split_before(spark):
+    """Texts split into tokens once give the vocabulary and the ids of the texts themselves."""
+    docs = spark.createDataFrame([(1, "Ala ma kota, a kot 12 lat."), (2, ""), (3, None), (4, "kota ma Ala")], "doc_id int, text string")
+    split = docs.select("doc_id", TK.token_strings(F.col("text")).alias("tokens"))
+    vocab = TK.build_vocab(docs, "text", 5)
+    assert sorted(vocab.collect()) == sorted(TK.build_vocab(split, "tokens", 5).collect())
+    ids = sorted(map(tuple, TK.tokenize(docs, vocab, "text").collect()))
+    assert ids == sorted(map(tuple, TK.tokenize(split, vocab, "tokens").collect()))
